@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("lists",)
+MODULES = ("lists", "texts", "packages")
 
 
 def load():
