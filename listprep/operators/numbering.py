@@ -22,14 +22,20 @@ def number_rows(
     number: str = "rn",
     total: str | None = None,
 ) -> DataFrame:
-    """1-based row numbers by a unique order, over the table or within groups.
+    """1-based row numbers by a unique ascending order, over the table or within groups.
 
     The sorted rows are checkpointed: counts and rows must come from the same partitioning, also
     after executors were lost.
     """
-    keys = [*group_by, *order_by]
+    # keys as columns, so that sampling and sorting do not evaluate an expression per comparison
+    made = {f"_k{i}": key for i, key in enumerate(order_by) if isinstance(key, Column)}
+    keys = [*group_by, *[f"_k{i}" if isinstance(key, Column) else key for i, key in enumerate(order_by)]]
     placed = checkpointed(
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+        df.withColumns(made)
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("_at", F.monotonically_increasing_id())
+        .drop(*made)
     ).withColumn("_part", F.shiftright("_at", 33))
     counts = placed.groupBy("_part", *group_by).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     # one row per partition (and group in it); without groups this is one row per partition

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("lists", "texts", "packages")
+MODULES = ("lists", "texts", "packages", "pages")
 
 
 def load():
