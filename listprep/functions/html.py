@@ -51,88 +51,104 @@ _FLUSH_BYTES = 8 << 20
 class _Page(HTMLParser):
     """Collects one page.  An end tag closes up to the nearest open tag of that name, else is ignored."""
 
-    def __init__(self, html: str, keep_tags: frozenset | None, keep_attrs: frozenset | None):
+    def __init__(self, html: str, keep_tags: frozenset | None, keep_attrs: frozenset | None, spans: bool = True):
         super().__init__(convert_charrefs=True)
         self.rows: list[list] = []
         self.tight: list[bytes] = []
         self.raw: list[bytes] = []
-        self._t = self._r = 0
+        self.size_tight = self.size_raw = 0
         self._pending: list[str] = []
-        # open element: tag, row index or None, number of children, has one text below
+        # open element: tag, its row or None, number of children, has one text below
         self._open: list[list] = []
+        self._parents = [-1]
         self._names: dict[str, int] = {}
+        self._muted = self._verbatim = 0
         self._keep_tags, self._keep_attrs = keep_tags, keep_attrs
-        self._html = html
-        self._lines = [0]
-        at = html.find("\n")
-        while at >= 0:
-            self._lines.append(at + 1)
-            at = html.find("\n", at + 1)
+        self._html, self._lines = html, None
+        if spans:
+            self._lines = [0, *(i + 1 for i, char in enumerate(html) if char == "\n")]
         self.feed(html)
         self.close()
         self._text()
         while self._open:
             self._shut(len(html))
+        self._html = ""
 
     def _at(self) -> int:
+        if self._lines is None:
+            return 0
         line, column = self.getpos()
         return self._lines[line - 1] + column
 
-    def _child(self, has_text: bool) -> None:
+    def _text(self) -> None:
+        pending = self._pending
+        if not pending:
+            return
+        data = pending[0] if len(pending) == 1 else "".join(pending)
+        pending.clear()
         if self._open:
             top = self._open[-1]
             top[2] += 1
-            top[3] = has_text
-
-    def _text(self) -> None:
-        if not self._pending:
-            return
-        data = "".join(self._pending)
-        self._pending = []
-        self._child(True)
-        if any(self._names.get(tag) for tag in MUTE):
+            top[3] = True
+        if self._muted:
             return
-        if not data.strip(" \n\t\f\r") and not any(self._names.get(tag) for tag in KEEP_BLANKS):
+        if data.isspace() and not self._verbatim and not data.strip(" \n\t\f\r"):
             data = "\n" if "\n" in data else " "
         piece = data.encode("utf-8", "replace")
         self.raw.append(piece)
-        self._r += len(piece)
-        piece = data.strip().encode("utf-8", "replace")
-        if piece:
+        self.size_raw += len(piece)
+        short = data.strip()
+        if short:
+            if len(short) != len(data):
+                piece = short.encode("utf-8", "replace")
             self.tight.append(piece)
-            self._t += len(piece)
+            self.size_tight += len(piece)
 
     def _shut(self, offset: int) -> None:
-        tag, index, children, has_text = self._open.pop()
+        tag, row, children, has_text = self._open.pop()
         self._names[tag] -= 1
+        if tag in MUTE:
+            self._muted -= 1
+        elif tag in KEEP_BLANKS:
+            self._verbatim -= 1
         solo = children == 1 and has_text
-        if index is not None:
-            row = self.rows[index]
-            row[1], row[7], row[9], row[11], row[13] = len(self.rows) - 1, solo, self._t, self._r, offset
+        if row is not None:
+            row[1], row[7], row[9], row[11], row[13] = len(self.rows) - 1, solo, self.size_tight, self.size_raw, offset
+            self._parents.pop()
         if self._open and self._open[-1][2] == 1:
             self._open[-1][3] = solo
 
     def handle_starttag(self, tag, attrs):
         self._text()
-        self._child(False)
-        index = None
+        if self._open:
+            top = self._open[-1]
+            top[2] += 1
+            top[3] = False
+        row = None
         if self._keep_tags is None or tag in self._keep_tags:
             index = len(self.rows)
-            values = {name: value or "" for name, value in attrs}
-            parent = next((o[1] for o in reversed(self._open) if o[1] is not None), -1)
-            cls = " ".join(values["class"].split()) if "class" in values else None
-            if self._keep_attrs is not None:
-                kept = {k: v for k, v in values.items() if k in self._keep_attrs}
-            else:
-                kept = values
-            self.rows.append(
-                [index, index, parent, len(self._open), tag, cls, values.get("id"), False,
-                 self._t, self._t, self._r, self._r, self._at(), 0, list(kept.items())]
-            )
-        self._open.append([tag, index, 0, False])
+            cls = ident = None
+            kept = ()
+            if attrs:
+                values = {name: value or "" for name, value in attrs}
+                cls, ident = values.get("class"), values.get("id")
+                if cls is not None:
+                    cls = " ".join(cls.split())
+                kept = [(k, v) for k, v in values.items() if self._keep_attrs is None or k in self._keep_attrs]
+            t, r = self.size_tight, self.size_raw
+            row = [
+                index, index, self._parents[-1], len(self._open), tag, cls, ident, False, t, t, r, r, self._at(), 0, kept
+            ]
+            self.rows.append(row)
+            self._parents.append(index)
+        self._open.append([tag, row, 0, False])
         self._names[tag] = self._names.get(tag, 0) + 1
         if tag in VOID:
             self._shut(self._at() + len(self.get_starttag_text()))
+        elif tag in MUTE:
+            self._muted += 1
+        elif tag in KEEP_BLANKS:
+            self._verbatim += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -146,14 +162,17 @@ class _Page(HTMLParser):
         start = self._at()
         while self._open[-1][0] != tag:
             self._shut(start)
-        self._shut(self._html.find(">", start) + 1 or len(self._html))
+        self._shut(start if self._lines is None else self._html.find(">", start) + 1 or len(self._html))
 
     def handle_data(self, data):
         self._pending.append(data)
 
     def _aside(self, _data):
         self._text()
-        self._child(False)
+        if self._open:
+            top = self._open[-1]
+            top[2] += 1
+            top[3] = False
 
     handle_comment = handle_decl = handle_pi = unknown_decl = _aside
 
@@ -189,7 +208,8 @@ def parse_html(
     """Adds the ``dom`` column.  Narrow: no shuffle, pages stay in their partition.
 
     Select and filter *before* this call; the Arrow stage stops pushdown.  ``keep_tags`` and
-    ``keep_attrs`` prune inside the stage (positions then count kept elements only).
+    ``keep_attrs`` prune inside the stage (positions then count kept elements only).  Source spans
+    (``h0``, ``h1``) are filled when ``keep_html`` is set, as only then there is a text to cut from.
     """
     tags = None if keep_tags is None else frozenset(keep_tags)
     names = None if keep_attrs is None else frozenset(keep_attrs)
@@ -200,11 +220,10 @@ def parse_html(
             source = batch.column(batch.schema.get_field_index(html))
             pages, begin, nodes, size = [], 0, 0, 0
             for i in range(batch.num_rows):
-                page = _Page(source[i].as_py() or "", tags, names)
-                page._html = ""
+                page = _Page(source[i].as_py() or "", tags, names, keep_html)
                 pages.append(page)
                 nodes += len(page.rows)
-                size += page._r + page._t
+                size += page.size_raw + page.size_tight
                 if nodes >= _FLUSH_NODES or size >= _FLUSH_BYTES or i + 1 == batch.num_rows:
                     part = batch.slice(begin, i + 1 - begin)
                     kept = [part.column(part.schema.get_field_index(c)) for c in carried]

@@ -489,7 +489,8 @@ def infobox_alias(spark, d):
     )
     titles = ["Name", "Current Alias", "GENDER", "Date of birth", "Living Status", "Reality", "brand", "None"]
     boxes = table(spark, d, "part").select("p_partkey", F.map_from_entries(entries).alias("box"))
-    asked = boxes.select("p_partkey", wiki.lower_keys(F.col("box")).alias("box"), F.explode(F.lit(titles)).alias("title"))
+    boxes = boxes.select("p_partkey", wiki.lower_keys(F.col("box")).alias("box"))
+    asked = boxes.withColumn("title", F.explode(F.lit(titles)))
     return asked.select("p_partkey", "title", wiki.alias_value(F.col("box"), F.col("title")).alias("value"))
 
 

@@ -17,7 +17,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def write_csv(df: DataFrame, path: str, append: bool = False) -> None:
     """Every value quoted, always with a header."""
     mode = "append" if append else "overwrite"
-    df.write.mode(mode).option("header", True).option("quoteAll", True).option("emptyValue", "").csv(path)
+    options = {"header": True, "quoteAll": True, "escape": '"', "emptyValue": ""}
+    df.write.mode(mode).options(**options).csv(path)
 
 
 def export_table(df: DataFrame, path: str) -> None:

@@ -20,20 +20,23 @@ SNAPSHOT_PREFIX = "package-counts-"
 
 def csv_links(spark: SparkSession, path: str) -> DataFrame:
     """First column of a CSV list with a header."""
-    return spark.read.schema("link string").option("header", True).csv(path)
+    return spark.read.schema("link string").option("header", True).option("escape", '"').csv(path)
 
 
 def json_links(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(items with a url, unreadable texts) of a JSON array file; a missing file is an empty list."""
-    schema = f"{LINK_SCHEMA}, _corrupt_record string"
+    """(items with a url, unreadable texts) of JSON list files; a missing file is an empty list.
+
+    An item that is no object or has no url is left out; a text that is no list is unreadable."""
     try:
-        rows = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+        files = spark.read.option("wholetext", True).text(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        rows = spark.createDataFrame([], schema)
-    good = rows.filter("_corrupt_record is null and url is not null").drop("_corrupt_record")
-    return good, rows.filter("_corrupt_record is not null").select("_corrupt_record")
+        files = spark.createDataFrame([], "value string")
+    is_list = F.coalesce(F.json_array_length("value").isNotNull(), F.lit(False))
+    items = files.filter(is_list).select(F.posexplode(F.from_json("value", "array<string>")).alias("pos", "item"))
+    good = items.withColumn("item", F.from_json("item", LINK_SCHEMA)).select("pos", "item.title", "item.url")
+    return good.filter("url is not null"), files.filter(~is_list).select(F.col("value").alias("text"))
 
 
 def page_files(spark: SparkSession, pattern: str, schema: str = CRATE_SCHEMA) -> DataFrame:
