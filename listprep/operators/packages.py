@@ -17,14 +17,14 @@ def top_versions(df: DataFrame, n: int = 20, package: str = "pkg", version: str
     only ``n`` rows per package and map task before the shuffle (window group limit).
     """
     unique = df.select(package, version).distinct()
-    keyed = unique.withColumn("_key", versions.semver_key(F.col(version))).filter(F.col("_key").isNotNull())
+    keyed = unique.filter(versions.is_semver(F.col(version))).withColumn("_key", versions.order_key(F.col(version)))
     newest = Window.partitionBy(package).orderBy(F.desc("_key"), F.asc(version))
     return keyed.withColumn("rank", F.row_number().over(newest)).filter(F.col("rank") <= n).drop("_key")
 
 
 def split_versions(df: DataFrame, version: str = "version") -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) rows by semantic version rules."""
-    ok = versions.semver_key(F.col(version)).isNotNull()
+    ok = F.coalesce(versions.is_semver(F.col(version)), F.lit(False))
     return df.filter(ok), df.filter(~ok)
 
 

@@ -39,16 +39,20 @@ def build(app: str = "listprep", master: str | None = None, cores: int | None =
     return tune(builder.getOrCreate())
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``, or a temporary one in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="listprep-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="listprep-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
