@@ -43,10 +43,14 @@ def number_rows(
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     if total:
         counts = counts.withColumn(total, F.sum("_n").over(Window.partitionBy(*group_by)))
-    # without groups the side has as many rows as there are partitions, so it is safe to broadcast
-    side = counts if group_by else F.broadcast(counts)
+    side = counts.withColumnsRenamed({"_part": "_side_part", **{g: f"_side_{g}" for g in group_by}})
+    if not group_by:
+        side = F.broadcast(side)  # as many rows as there are partitions
+    same = F.col("_part") == F.col("_side_part")
+    for g in group_by:
+        same = same & F.col(g).eqNullSafe(F.col(f"_side_{g}"))
     return (
-        placed.join(side, ["_part", *group_by])
+        placed.join(side, same)
         .withColumn(number, F.col("_at") - F.col("_first") + F.col("_before") + 1)
         .select(*df.columns, number, *([total] if total else []))
     )

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("lists", "texts", "packages", "pages", "storage", "streams")
+MODULES = ("lists", "texts", "packages", "pages", "storage", "streams", "jobs")
 
 
 def load():
