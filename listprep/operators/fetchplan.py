@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listprep.functions import text, urls
+from listprep.operators.membership import without_known
 
 # Public registry addresses the paths are relative to.
 MAVEN_BASE = "https://repo1.maven.org/maven2/"
@@ -60,12 +61,12 @@ def npm_plan(pairs: DataFrame, have: DataFrame | None = None, base: str = NPM_BA
         F.concat(F.lit(base + "/"), p, F.lit("/-/"), name, F.lit("-"), v, F.lit(".tgz")).alias("url"),
         F.concat(p, F.lit("/"), p, F.lit("-"), v, F.lit(".tgz")).alias("path"),
     )
-    return plan if have is None else plan.join(have.select("path").distinct(), "path", "left_anti")
+    return plan if have is None else without_known(plan, have, ["path"])
 
 
 def present_in_index(plan: DataFrame, index: DataFrame) -> DataFrame:
     """Planned files the remote side has."""
-    return plan.join(index.select("path").distinct(), "path", "left_semi")
+    return plan.join(index.select("path").distinct(), "path", "left_semi").select(*plan.columns)
 
 
 def fetch_state(plan: DataFrame, index: DataFrame, inventory: DataFrame) -> DataFrame:

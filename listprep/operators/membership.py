@@ -27,7 +27,7 @@ def without_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataF
     The known side is made unique first (partial aggregation), which also gives it the partitioning
     the join needs.  Spark broadcasts it only when its measured size is below the threshold.
     """
-    return df.join(known.select(*keys).distinct(), list(keys), "left_anti")
+    return df.join(known.select(*keys).distinct(), list(keys), "left_anti").select(*df.columns)
 
 
 def append_new(batch: DataFrame, existing: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

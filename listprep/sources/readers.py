@@ -28,7 +28,7 @@ def json_links(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
     An item that is no object or has no url is left out; a text that is no list is unreadable."""
     try:
-        files = spark.read.option("wholetext", True).text(path)
+        files = spark.read.text(path, wholetext=True)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
@@ -46,20 +46,20 @@ def page_files(spark: SparkSession, pattern: str, schema: str = CRATE_SCHEMA) ->
 
 def stored_pages(spark: SparkSession, path: str, suffix: str = ".html") -> DataFrame:
     """(url, html) of stored page files, one page per file."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").text(path)
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=f"*{suffix}")
     return files.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 
 def query_files(spark: SparkSession, folder: str) -> DataFrame:
     """(query, pos, name) of search result files, each a JSON array of names."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{QUERY_FILE_SUFFIX}").text(folder)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter=f"*{QUERY_FILE_SUFFIX}")
     query = F.regexp_extract("_metadata.file_name", rf"^(.*){QUERY_FILE_SUFFIX}$", 1)
     return files.select(query.alias("query"), F.posexplode(F.from_json("value", "array<string>")).alias("pos", "name"))
 
 
 def snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """(snapshot, query, n) of dated count files; the date is in the file name, NULL counts are kept."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", f"{SNAPSHOT_PREFIX}*").text(folder)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter=f"{SNAPSHOT_PREFIX}*")
     date = F.regexp_extract("_metadata.file_name", rf"{SNAPSHOT_PREFIX}(.*)\.json", 1)
     return files.select(
         date.alias("snapshot"), F.explode(F.from_json("value", "map<string,bigint>")).alias("query", "n")
