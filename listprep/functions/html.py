@@ -11,9 +11,12 @@ offsets into it.  That keeps a page linear in its size however deep unclosed tag
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from html import unescape
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -42,154 +45,251 @@ KEEP_BLANKS = frozenset("pre textarea".split())
 _ROW_FIELDS = ("pos", "end", "parent", "depth", "tag", "cls", "id", "solo", "t0", "t1", "r0", "r1", "h0", "h1", "attrs")
 _ROW_TYPES = (
     pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(),
-    pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.map_(pa.string(), pa.string()),
+    pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(),
 )
 _FLUSH_NODES = 20_000
 _FLUSH_BYTES = 8 << 20
 
 
-class _Page(HTMLParser):
-    """Collects one page.  An end tag closes up to the nearest open tag of that name, else is ignored."""
+_BLANK = r"[\t\n\r\f ]"
+# Markup without surprises: end tags, start tags with plain attributes, comments and the doctype.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'=<>`&/]++)"""
+_TOKEN = re.compile(
+    rf"</([a-zA-Z][a-zA-Z0-9:_-]*+){_BLANK}*+>"
+    rf"|<([a-zA-Z][a-zA-Z0-9:_-]*+)((?:{_BLANK}++[a-zA-Z_:@][a-zA-Z0-9_:.@-]*+(?:{_BLANK}*+={_BLANK}*+{_VALUE})?+)*+){_BLANK}*+(/?)>"
+    r"|<!--(?!-?>)((?:(?!--!?>).)*+)-->"
+    r"|<!(?i:doctype)[^><]*+>",
+    re.S,
+)
+_ATTR = re.compile(rf"""([^\s=]+)(?:{_BLANK}*={_BLANK}*("[^"]*"|'[^']*'|[^\s"']+))?""")
+_OTHER_ENTITY = re.compile("&(?!(?:amp|quot|lt|gt);)")
+_RAW_END = {tag: re.compile(rf"</{tag}(?![a-zA-Z0-9:_-])", re.I) for tag in ("script", "style")}
+# Elements whose content the standard reads in another mode.
+_RAW_TEXT = frozenset("title textarea xmp iframe noembed noframes noscript plaintext".split())
 
-    def __init__(self, html: str, keep_tags: frozenset | None, keep_attrs: frozenset | None, spans: bool = True):
-        super().__init__(convert_charrefs=True)
+
+class _Page:
+    """The tree of one page.  An end tag closes up to the nearest open tag of that name, else is ignored.
+
+    Regular markup is read by one pattern; anything it does not cover sends the page to the tolerant
+    reader of the standard library, which defines the result in all cases.
+    """
+
+    def __init__(self, html: str, keep_tags: frozenset | None = None, keep_attrs: frozenset | None = None, fast: bool = True):
+        self._keep_tags, self._keep_attrs = keep_tags, keep_attrs
+        self._clear()
+        if not (fast and self._scan(html)):
+            self._clear()
+            _Tolerant(self, html)
+        while self._open:
+            self._shut(len(html))
+
+    def _clear(self) -> None:
         self.rows: list[list] = []
         self.tight: list[bytes] = []
         self.raw: list[bytes] = []
         self.size_tight = self.size_raw = 0
-        self._pending: list[str] = []
         # open element: tag, its row or None, number of children, has one text below
         self._open: list[list] = []
         self._parents = [-1]
         self._names: dict[str, int] = {}
         self._muted = self._verbatim = 0
-        self._keep_tags, self._keep_attrs = keep_tags, keep_attrs
-        self._html, self._lines = html, None
-        if spans:
-            self._lines = [0, *(i + 1 for i, char in enumerate(html) if char == "\n")]
-        self.feed(html)
-        self.close()
-        self._text()
-        while self._open:
-            self._shut(len(html))
-        self._html = ""
 
-    def _at(self) -> int:
-        if self._lines is None:
-            return 0
-        line, column = self.getpos()
-        return self._lines[line - 1] + column
-
-    def _text(self) -> None:
-        pending = self._pending
-        if not pending:
-            return
-        data = pending[0] if len(pending) == 1 else "".join(pending)
-        pending.clear()
+    def _scan(self, html: str) -> bool:
+        """Reads the whole page by pattern; False when some part of it is irregular."""
+        at, token = 0, _TOKEN.match
+        while True:
+            lt = html.find("<", at)
+            data = html[at:] if lt < 0 else html[at:lt]
+            if data:
+                self.text(unescape(data) if "&" in data else data)
+            if lt < 0:
+                return True
+            found = token(html, lt)
+            if found is None:
+                return False
+            end, start, attrs, closed, _comment = found.groups()
+            at = found.end()
+            if end is not None:
+                self.end(end.lower(), lt, at)
+            elif start is None:
+                self.aside()
+            else:
+                tag = start.lower()
+                pairs = []
+                if attrs:
+                    if "&" in attrs and _OTHER_ENTITY.search(attrs):
+                        return False
+                    for name, value in _ATTR.findall(attrs):
+                        if value[:1] in ("'", '"'):
+                            value = value[1:-1]
+                        pairs.append((name.lower(), unescape(value) if "&" in value else value))
+                self.start(tag, pairs, lt, at, bool(closed))
+                if closed:
+                    if tag in _RAW_END:
+                        return False
+                elif tag in _RAW_END:
+                    stop = _RAW_END[tag].search(html, at)
+                    if stop is None:
+                        return False
+                    if stop.start() > at:
+                        self.text(html[at : stop.start()])
+                    at = stop.start()
+                elif tag in _RAW_TEXT:
+                    lt = html.find("<", at)
+                    if tag not in ("title", "textarea") or html[lt : lt + len(tag) + 2].lower() != f"</{tag}":
+                        return False
+
+    def text(self, data: str) -> None:
         if self._open:
             top = self._open[-1]
             top[2] += 1
             top[3] = True
         if self._muted:
             return
-        if data.isspace() and not self._verbatim and not data.strip(" \n\t\f\r"):
+        short = data.strip()
+        if not short and not self._verbatim and not data.strip(" \n\t\f\r"):
             data = "\n" if "\n" in data else " "
         piece = data.encode("utf-8", "replace")
         self.raw.append(piece)
         self.size_raw += len(piece)
-        short = data.strip()
         if short:
             if len(short) != len(data):
                 piece = short.encode("utf-8", "replace")
             self.tight.append(piece)
             self.size_tight += len(piece)
 
-    def _shut(self, offset: int) -> None:
-        tag, row, children, has_text = self._open.pop()
-        self._names[tag] -= 1
-        if tag in MUTE:
-            self._muted -= 1
-        elif tag in KEEP_BLANKS:
-            self._verbatim -= 1
-        solo = children == 1 and has_text
-        if row is not None:
-            row[1], row[7], row[9], row[11], row[13] = len(self.rows) - 1, solo, self.size_tight, self.size_raw, offset
-            self._parents.pop()
-        if self._open and self._open[-1][2] == 1:
-            self._open[-1][3] = solo
-
-    def handle_starttag(self, tag, attrs):
-        self._text()
+    def aside(self) -> None:
+        """A comment or declaration: a child without text."""
         if self._open:
             top = self._open[-1]
             top[2] += 1
             top[3] = False
+
+    def start(self, tag: str, attrs: list, at: int, after: int, closed: bool = False) -> None:
+        opened = self._open
+        if opened:
+            top = opened[-1]
+            top[2] += 1
+            top[3] = False
         row = None
         if self._keep_tags is None or tag in self._keep_tags:
             index = len(self.rows)
             cls = ident = None
-            kept = ()
+            kept = attrs
             if attrs:
-                values = {name: value or "" for name, value in attrs}
+                values = dict(attrs)
                 cls, ident = values.get("class"), values.get("id")
                 if cls is not None:
                     cls = " ".join(cls.split())
-                kept = [(k, v) for k, v in values.items() if self._keep_attrs is None or k in self._keep_attrs]
+                if self._keep_attrs is not None:
+                    kept = [item for item in values.items() if item[0] in self._keep_attrs]
+                elif len(values) != len(attrs):
+                    kept = list(values.items())
             t, r = self.size_tight, self.size_raw
-            row = [
-                index, index, self._parents[-1], len(self._open), tag, cls, ident, False, t, t, r, r, self._at(), 0, kept
-            ]
+            row = [index, index, self._parents[-1], len(opened), tag, cls, ident, False, t, t, r, r, at, 0, kept]
             self.rows.append(row)
             self._parents.append(index)
-        self._open.append([tag, row, 0, False])
+        opened.append([tag, row, 0, False])
         self._names[tag] = self._names.get(tag, 0) + 1
-        if tag in VOID:
-            self._shut(self._at() + len(self.get_starttag_text()))
-        elif tag in MUTE:
+        if tag in MUTE:
             self._muted += 1
         elif tag in KEEP_BLANKS:
             self._verbatim += 1
+        if closed or tag in VOID:
+            self._shut(after)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self._shut(self._at() + len(self.get_starttag_text()))
+    def _shut(self, offset: int) -> None:
+        tag, row, children, has_text = self._open.pop()
+        self._names[tag] -= 1
+        if tag in MUTE:
+            self._muted -= 1
+        elif tag in KEEP_BLANKS:
+            self._verbatim -= 1
+        solo = children == 1 and has_text
+        if row is not None:
+            row[1], row[7], row[9], row[11], row[13] = len(self.rows) - 1, solo, self.size_tight, self.size_raw, offset
+            self._parents.pop()
+        if self._open and self._open[-1][2] == 1:
+            self._open[-1][3] = solo
 
-    def handle_endtag(self, tag):
-        self._text()
+    def end(self, tag: str, at: int, after: int) -> None:
         if not self._names.get(tag):
             return
-        start = self._at()
         while self._open[-1][0] != tag:
-            self._shut(start)
-        self._shut(start if self._lines is None else self._html.find(">", start) + 1 or len(self._html))
+            self._shut(at)
+        self._shut(after)
+
+
+class _Tolerant(HTMLParser):
+    """Feeds a page from the standard library's reader, which copes with any markup."""
+
+    def __init__(self, page: _Page, html: str):
+        super().__init__(convert_charrefs=True)
+        self._page, self._html = page, html
+        self._lines = [0, *(i + 1 for i, char in enumerate(html) if char == "\n")]
+        self._pending: list[str] = []
+        self.feed(html)
+        self.close()
+        self._flush()
+
+    def _at(self) -> int:
+        line, column = self.getpos()
+        return self._lines[line - 1] + column
+
+    def _flush(self) -> None:
+        if self._pending:
+            self._page.text("".join(self._pending))
+            self._pending.clear()
+
+    def _begin(self, tag, attrs, closed):
+        self._flush()
+        at = self._at()
+        values = [(name, value or "") for name, value in attrs]
+        self._page.start(tag, values, at, at + len(self.get_starttag_text()), closed)
+
+    def handle_starttag(self, tag, attrs):
+        self._begin(tag, attrs, False)
+
+    def handle_startendtag(self, tag, attrs):
+        self._begin(tag, attrs, True)
+
+    def handle_endtag(self, tag):
+        self._flush()
+        at = self._at()
+        self._page.end(tag, at, self._html.find(">", at) + 1 or len(self._html))
 
     def handle_data(self, data):
         self._pending.append(data)
 
-    def _aside(self, _data):
-        self._text()
-        if self._open:
-            top = self._open[-1]
-            top[2] += 1
-            top[3] = False
+    def _other(self, _data):
+        self._flush()
+        self._page.aside()
+
+    handle_comment = handle_decl = handle_pi = unknown_decl = _other
+
 
-    handle_comment = handle_decl = handle_pi = unknown_decl = _aside
+def _offsets(lengths: Iterable[int]) -> pa.Array:
+    return pa.array([0, *accumulate(lengths)], pa.int32())
 
 
 def _dom_array(pages: list[_Page]) -> pa.StructArray:
-    offsets, total = [0], 0
-    for page in pages:
-        total += len(page.rows)
-        offsets.append(total)
     rows = [row for page in pages for row in page.rows]
-    columns = list(zip(*rows)) if rows else [()] * len(_ROW_FIELDS)
+    *columns, attrs = zip(*rows) if rows else [()] * len(_ROW_FIELDS)
+    names = [name for pairs in attrs for name, _ in pairs]
+    values = [value for pairs in attrs for _, value in pairs]
     nodes = pa.StructArray.from_arrays(
-        [pa.array(values, type=kind) for values, kind in zip(columns, _ROW_TYPES)], names=list(_ROW_FIELDS)
+        [
+            *(pa.array(column, type=kind) for column, kind in zip(columns, _ROW_TYPES)),
+            pa.MapArray.from_arrays(
+                _offsets(map(len, attrs)), pa.array(names, pa.string()), pa.array(values, pa.string())
+            ),
+        ],
+        names=list(_ROW_FIELDS),
     )
     return pa.StructArray.from_arrays(
         [
-            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), nodes),
+            pa.ListArray.from_arrays(_offsets(len(page.rows) for page in pages), nodes),
             pa.array([b"".join(page.tight) for page in pages], pa.binary()),
             pa.array([b"".join(page.raw) for page in pages], pa.binary()),
         ],
@@ -208,8 +308,7 @@ def parse_html(
     """Adds the ``dom`` column.  Narrow: no shuffle, pages stay in their partition.
 
     Select and filter *before* this call; the Arrow stage stops pushdown.  ``keep_tags`` and
-    ``keep_attrs`` prune inside the stage (positions then count kept elements only).  Source spans
-    (``h0``, ``h1``) are filled when ``keep_html`` is set, as only then there is a text to cut from.
+    ``keep_attrs`` prune inside the stage (positions then count kept elements only).
     """
     tags = None if keep_tags is None else frozenset(keep_tags)
     names = None if keep_attrs is None else frozenset(keep_attrs)
@@ -220,7 +319,7 @@ def parse_html(
             source = batch.column(batch.schema.get_field_index(html))
             pages, begin, nodes, size = [], 0, 0, 0
             for i in range(batch.num_rows):
-                page = _Page(source[i].as_py() or "", tags, names, keep_html)
+                page = _Page(source[i].as_py() or "", tags, names)
                 pages.append(page)
                 nodes += len(page.rows)
                 size += page.size_raw + page.size_tight

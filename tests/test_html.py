@@ -1,6 +1,8 @@
 """The page reader: tree shape, text rules, spans."""
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from listprep.functions import html as H
@@ -107,3 +109,36 @@ def test_many_pages_come_back_whole(spark):
     dom = F.col("dom")
     got = H.parse_html(df).select("id", H.tight(dom, H.find(dom["nodes"], tag="p")).cast("long").alias("t"))
     assert got.filter("id = t").count() == 5000
+
+
+PIECES = [
+    "<p>", "</p>", "<P CLASS=A>", "</P >", "<br>", "<br/>", "<br />", "<br / >", "<div class='a b' id=x>", "</div>", "</div x>",
+    '<a href="/q?a=1&amp;b=2">', '<a href="/q?a=1&b=2">', "<a href=/x/>", "<a href=/x>", "<a hidden>", "<a a=1 A=2>", '<a a="1"b="2">',
+    "</a>", "<!-- c -->", "<!---->", "<!-->", "<!-- a --!> b -->", "<!-- open", "<!doctype html>", "<![CDATA[x]]>", "<?pi?>", "<!x>",
+    "<script>", "<script>var t='</p>';", "</script>", "</SCRIPT >", "</scriptx>", "<style>p{}</style>", "<title>t</title>", "<title>a<b>",
+    "</title>", "<textarea> </textarea>", "<pre> \n</pre>", " ", "\n", "text", "&amp;", "&lt;b&gt;", "&copy", "&#65;", "&", "<", ">", "a < b",
+    "\u00e9", "\u00a0", "<x-y:z k>", "<img src=x alt='>'>", "<svg/>", "<a title=\"it's\">", "<a b = 'c'>", "<a\nb>", "<p\t>", "<noscript>", "<a =x>",
+    "<template><i>no</i></template>", "</>", "<a/b>", "<a href='x' / >", "<iframe>", "</iframe>", "<b", "<rt>r</rt>", "\x00", "<a x=`y`>", "<script/>",
+]
+
+
+def same_tree(text):
+    fast, slow = H._Page(text), H._Page(text, fast=False)
+    assert (fast.rows, fast.tight, fast.raw) == (slow.rows, slow.tight, slow.raw)
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12))
+def test_pattern_reader_equals_standard_reader(pieces):
+    same_tree("".join(pieces))
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text(alphabet="<>/='\"!-& ab\n", max_size=25))
+def test_readers_agree_on_any_text(text):
+    same_tree(text)
+
+
+def test_readers_agree_on_real_pages(spark, folder):
+    for row in spark.read.parquet(f"{folder}/pages.parquet").select("html").collect():
+        same_tree(row.html)
