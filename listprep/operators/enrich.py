@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listprep.operators.joins import join_unique
+
 
 def overlay(base: DataFrame, found: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Base rows with found values put over them; a value not found leaves the old one.
@@ -19,7 +21,7 @@ def overlay(base: DataFrame, found: DataFrame, key: str, columns: Sequence[str])
     left = base.withColumn("_key", F.when(blank, spread).otherwise(F.col(key)))
     right = found.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in columns])
     kept = [c for c in base.columns if c not in columns]
-    return left.join(right, "_key", "left").select(
+    return join_unique(left, right, ["_key"], "left").select(
         *kept,
         *[F.coalesce(f"_new_{c}", c).alias(c) if c in base.columns else F.col(f"_new_{c}").alias(c) for c in columns],
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listprep.functions import text, urls
-from listprep.operators.membership import without_known
+from listprep.operators.joins import drop_known, join_unique, keep_known
 
 # Public registry addresses the paths are relative to.
 MAVEN_BASE = "https://repo1.maven.org/maven2/"
@@ -61,12 +61,12 @@ def npm_plan(pairs: DataFrame, have: DataFrame | None = None, base: str = NPM_BA
         F.concat(F.lit(base + "/"), p, F.lit("/-/"), name, F.lit("-"), v, F.lit(".tgz")).alias("url"),
         F.concat(p, F.lit("/"), p, F.lit("-"), v, F.lit(".tgz")).alias("path"),
     )
-    return plan if have is None else without_known(plan, have, ["path"])
+    return plan if have is None else drop_known(plan, have, ["path"])
 
 
 def present_in_index(plan: DataFrame, index: DataFrame) -> DataFrame:
     """Planned files the remote side has."""
-    return plan.join(index.select("path").distinct(), "path", "left_semi").select(*plan.columns)
+    return keep_known(plan, index, ["path"])
 
 
 def fetch_state(plan: DataFrame, index: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -109,8 +109,7 @@ def complete_artifacts(artifacts: DataFrame, inventory: DataFrame) -> DataFrame:
     )
     folder = text.safe_path(urls.artifact_folder(F.col("group_id"), F.col("artifact_id"), F.col("latest_version")))
     return (
-        artifacts.withColumn("_folder", folder)
-        .join(folders, "_folder", "left")
+        join_unique(artifacts.withColumn("_folder", folder), folders, ["_folder"], "left")
         .withColumn("complete", F.coalesce(F.col("_jar") & F.col("_pom"), F.lit(False)))
         .drop("_folder", "_jar", "_pom")
     )

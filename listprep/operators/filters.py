@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listprep.functions import urls
+from listprep.functions.text import strip_ws
+from listprep.operators.joins import drop_known, keep_known
 
 
 def price_floor_page(
@@ -46,9 +48,9 @@ def select_projects(
     """Projects with their total size after allow list, block list and size limit.  All three are
     optional; without them every project passes."""
     if allow is not None:
-        files = files.join(allow.select(project).distinct(), project, "left_semi")
+        files = keep_known(files, allow, [project])
     if block is not None:
-        files = files.join(block.select(project).distinct(), project, "left_anti")
+        files = drop_known(files, block, [project])
     totals = files.groupBy(project).agg(F.sum(size).alias("total_size"))
     return totals if max_size is None else totals.filter(F.col("total_size") <= max_size)
 
@@ -60,8 +62,6 @@ def lock_names(lines: DataFrame, line: str = "line", mode: str = "as_written") -
     ``)`` pass, and ``* name`` gives ``*``.  ``indented``: lines starting with two spaces or ``*``
     give their name.
     """
-    from listprep.functions.text import strip_ws
-
     bare = strip_ws(F.col(line))
     open_line = ~F.col(line).contains(")")
     if mode == "as_written":

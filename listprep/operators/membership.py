@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listprep.functions import text
+from listprep.operators.joins import drop_known, join_unique
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -24,15 +25,17 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 def without_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not known; duplicates and all columns stay.
 
-    The known side is made unique first (partial aggregation), which also gives it the partitioning
-    the join needs.  Spark broadcasts it only when its measured size is below the threshold.
-    """
-    return df.join(known.select(*keys).distinct(), list(keys), "left_anti").select(*df.columns)
+    The known side is made unique first (partial aggregation); a hot key of the other side is split
+    at run time (see ``joins``)."""
+    return drop_known(df, known, keys)
 
 
 def append_new(batch: DataFrame, existing: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Rows of the batch to append: unseen keys only, the first row of each key."""
-    return without_known(first_rows(batch, [key], order), existing, [key])
+    """Rows of the batch to append: unseen keys only, the first row of each key.
+
+    Both sides are unique and partitioned by the key before they meet, so the join adds no shuffle
+    and has no hot key."""
+    return first_rows(batch, [key], order).join(existing.select(key).distinct(), key, "left_anti").select(*batch.columns)
 
 
 def continue_list(existing: DataFrame, batch: DataFrame, key: str = "url") -> DataFrame:
@@ -100,7 +103,7 @@ def pending_or_failed(links: DataFrame, outputs: DataFrame) -> DataFrame:
     tried = links.select("list", "pos", "title", "url", F.inline(candidates))
     known = outputs.groupBy("list", "safe_name").agg(F.bool_or("has_error").alias("has_error"))
     return (
-        tried.join(known, ["list", "safe_name"], "left")
+        join_unique(tried, known, ["list", "safe_name"], "left")
         .groupBy("list", "pos", "title", "url")
         # rank and error flag in one integer: the smallest is the first scheme that has an output
         .agg(F.min(F.col("rank") * 2 + F.col("has_error").cast("int")).alias("_hit"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listprep.functions import versions
+from listprep.operators.joins import join_unique
 
 
 def top_versions(df: DataFrame, n: int = 20, package: str = "pkg", version: str = "version") -> DataFrame:
@@ -55,7 +56,7 @@ def latest_version(listing: DataFrame, keys: Sequence[str], version: str = "vers
 def check_versions(current: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Current versions with ``new_version`` (the latest when known) and ``changed``."""
     moved = F.col("latest").isNotNull() & (F.col("latest") != F.col("latest_version"))
-    return current.join(latest, list(keys), "left").select(
+    return join_unique(current, latest, keys, "left").select(
         *current.columns, F.coalesce("latest", "latest_version").alias("new_version"), moved.alias("changed")
     )
 

@@ -402,4 +402,8 @@ def page_records(df: DataFrame, *keep: str, html: str = "html") -> DataFrame:
 def with_list_titles(records: DataFrame, links: DataFrame, key: str = "url") -> DataFrame:
     """The title of the link list replaces the one found on the page."""
     titles = links.select(key, F.col("title").alias("_list_title"))
-    return records.join(titles, key, "left").withColumn("title", F.coalesce("_list_title", "title")).drop("_list_title")
+    return (
+        records.join(titles, key, "left")
+        .withColumn("title", F.coalesce("_list_title", "title"))
+        .select(*records.columns)
+    )

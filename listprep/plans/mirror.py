@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from listprep.operators import fetchplan, membership, packages
+from listprep.operators import fetchplan, joins, membership, packages
 
 COORDS = ("group_id", "artifact_id")
 
@@ -31,5 +31,5 @@ def crate_mirror(fresh: DataFrame, known: DataFrame, versions: DataFrame, done:
 
     fresh, known: pkg.  versions: pkg, version, pos.  done: pkg, version."""
     wanted = membership.without_known(fresh.select("pkg").distinct(), known, ["pkg"])
-    listed = packages.head_versions(versions.join(wanted, "pkg", "left_semi"), keep)
+    listed = packages.head_versions(joins.keep_known(versions, wanted, ["pkg"]), keep)
     return fetchplan.crate_plan(membership.without_known(listed, done, ["pkg", "version"]))

@@ -22,15 +22,25 @@ RUNTIME = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
+# One shuffle partition should hold about this much, so that it sorts and aggregates in memory.
+SHUFFLE_PARTITION_BYTES = 128 << 20
+
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Runtime settings; with the size of the largest shuffle also the number of its partitions
+    (adaptive execution joins small ones again)."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    if shuffle_bytes:
+        partitions = max(spark.sparkContext.defaultParallelism, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return spark
 
 
 def build(app: str = "listprep", master: str | None = None, cores: int | None = None) -> SparkSession:
     """Session for scripts and tests; on a cluster the master comes from spark-submit."""
-    builder = SparkSession.builder.appName(app)
+    # checkpoint files go when nothing refers to them any more
+    builder = SparkSession.builder.appName(app).config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
         builder = builder.config("spark.driver.memory", "12g").config("spark.ui.enabled", "false")

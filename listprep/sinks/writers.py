@@ -59,8 +59,10 @@ def save_list(df: DataFrame, path: str, mode: str = "continue", key: str = "url"
 
 
 def write_records(df: DataFrame, path: str, by: str = "list") -> None:
-    """One folder per list, one JSON record per page."""
-    df.write.mode("append").partitionBy(by).json(path)
+    """One folder per list, one JSON record per page.
+
+    Rebalancing by list keeps the files few, and splits a list that is too large for one task."""
+    df.hint("rebalance", by).write.mode("append").partitionBy(by).json(path)
 
 
 def write_pages(df: DataFrame, path: str) -> None:
