@@ -24,6 +24,13 @@ def text(c):
     return F.col(c).cast("string")
 
 
+def sql_unescaped(column):
+    """The four entities of the given pages decoded; a cut one may lack its semicolon."""
+    for name, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        column = f"regexp_replace({column}, '&{name};?', '{char}', 'g')"
+    return f"trim({column})"
+
+
 TAGS = "p li a b br h1 div nav article footer ul".split()
 
 
@@ -42,13 +49,12 @@ def html_nodes(spark, d):
 
 @query(
     "real_titles",
-    """
+    f"""
     with t as (
       select page_id, regexp_extract(html, '<h1>([^<]*)</h1>', 1) as heading,
         len(regexp_extract_all(html, '<h1>')) as n_headings, regexp_extract(html, '<div class="ad">([^<]*)</div>', 1) as ad
       from pages)
-    select page_id, trim(replace(replace(replace(replace(heading, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) as heading,
-      n_headings, trim(replace(replace(replace(replace(ad, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) as ad from t
+    select page_id, {sql_unescaped('heading')} as heading, n_headings, {sql_unescaped('ad')} as ad from t
     """,
 )
 def real_titles(spark, d):
@@ -101,8 +107,10 @@ def card_pages(spark, d):
     return orders.select("o_orderkey", html.alias("html"))
 
 
-def cards(spark, d):
-    tags = ["div", "a", "span", "section", "table", "thead", "tbody", "tr", "th", "td"]
+TABLE_TAGS = ["table", "tbody", "tr", "th", "td"]
+
+
+def cards(spark, d, tags):
     return H.parse_html(card_pages(spark, d), keep_tags=tags, keep_attrs=["href"])
 
 
@@ -121,7 +129,7 @@ cells as (
 @query("container_links", f"select o_orderkey, '{CARD_BASE}/card/' || o_orderkey as link from orders")
 def container_links(spark, d):
     links = extract.container_links(
-        cards(spark, d), "o_orderkey", cls="registry-entry__header-mid__number", base=CARD_BASE
+        cards(spark, d, ["div", "a"]), "o_orderkey", cls="registry-entry__header-mid__number", base=CARD_BASE
     )
     return links.drop("pos")
 
@@ -137,12 +145,14 @@ def container_links(spark, d):
     """,
 )
 def rule_extract(spark, d):
-    return extract.extract_rules(cards(spark, d), "o_orderkey")
+    return extract.extract_rules(cards(spark, d, ["div", "span", "section", *TABLE_TAGS]), "o_orderkey")
 
 
 @query("labelled_value", "select o_orderkey, cast(o_custkey as varchar) as inn from orders")
 def labelled_value(spark, d):
-    return extract.extract_rules(cards(spark, d), "o_orderkey", rules=[extract.Labelled("inn", "ИНН:")])
+    return extract.extract_rules(
+        cards(spark, d, ["section", "span"]), "o_orderkey", rules=[extract.Labelled("inn", "ИНН:")]
+    )
 
 
 @query("table_column_join", f"with {SQL_CARDS} select o_orderkey, address, '' as other from cells")
@@ -151,7 +161,7 @@ def table_column_join(spark, d):
         extract.TableColumn("address", "Адрес", "blockInfo__table tableBlock grayBorderBottom"),
         extract.TableColumn("other", "Нет такого", "blockInfo__table tableBlock grayBorderBottom"),
     ]
-    return extract.extract_rules(cards(spark, d), "o_orderkey", rules=rules)
+    return extract.extract_rules(cards(spark, d, TABLE_TAGS), "o_orderkey", rules=rules)
 
 
 # --- organisation pages ----------------------------------------------------------------------------

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from listprep.operators import numbering
-from listprep.queries.lists import playlist_items
-from listprep.queries.packages import SQL_LISTING, version_changes
+from listprep.queries.lists import SQL_HITS, playlist_items, term_search
+from listprep.queries.packages import SQL_LISTING, counts, version_changes
 from listprep.queries.registry import money, query, table
 from listprep.queries.texts import SQL_CONTROL, SQL_DIRTY, dirty
 from listprep.session import work_dir
@@ -148,3 +148,55 @@ def save_list(spark, d):
     for part in (items.filter("c_acctbal < 5000"), items.filter("c_acctbal > 1000"), items):
         writers.save_list(part.drop("c_acctbal"), path, mode="continue")
     return spark.read.schema("id bigint, url string").json(path)
+
+
+def write_named(df, folder):
+    """(name, value) rows, few, as files with these names."""
+    spark = df.sparkSession
+    df.write.partitionBy("name").text(f"{folder}.parts")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path(folder))
+    for status in system.globStatus(path(f"{folder}.parts/name=*/part-*")):
+        name = status.getPath().getParent().getName().removeprefix("name=")
+        system.rename(status.getPath(), path(f"{folder}/{name}"))
+
+
+@query(
+    "src_query_files",
+    f"""
+    with {SQL_HITS}
+    select query || '.' || doc_id // 250 as query,
+      cast(row_number() over (partition by query, doc_id // 250 order by doc_id) - 1 as int) as pos, source || '/' || doc_id as name
+    from hits
+    """,
+)
+def src_query_files(spark, d):
+    """Hits of each term for 250 documents at a time, as one file of names each."""
+    chunk = F.concat_ws(".", "query", F.call_function("div", F.col("doc_id"), F.lit(250)).cast("string"))
+    name = F.concat_ws("/", "source", F.col("doc_id").cast("string"))
+    hits = term_search(spark, d).withColumn("name", name).groupBy(chunk.alias("query")).agg(
+        F.array_sort(F.collect_list(F.struct("doc_id", "name"))).alias("items")
+    )
+    path = work_dir(spark, "queries")
+    write_named(
+        hits.select(F.concat("query", F.lit(readers.QUERY_FILE_SUFFIX)).alias("name"), F.to_json("items.name").alias("value")), path
+    )
+    return readers.query_files(spark, path)
+
+
+@query(
+    "src_snapshots",
+    """
+    select strftime(ts, '%Y-%m-%d') as snapshot, event_type || '-h' || hour(ts) as query,
+      case when max(value) <= 300 then count(*) filter (value >= 20) end as n
+    from events group by 1, 2
+    """,
+)
+def src_snapshots(spark, d):
+    """Counts by date as one file per date, one entry per query, failed counts as null."""
+    entries = F.map_from_entries(F.collect_list(F.struct("query", "n")))
+    files = counts(spark, d).groupBy("snapshot").agg(F.to_json(entries, {"ignoreNullFields": "false"}).alias("value"))
+    path = work_dir(spark, "snapshots")
+    write_named(files.select(F.concat(F.lit(readers.SNAPSHOT_PREFIX), "snapshot", F.lit(".json")).alias("name"), "value"), path)
+    return readers.snapshots(spark, path)

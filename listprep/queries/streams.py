@@ -31,6 +31,20 @@ def stream_links(spark, d):
     return spark.read.parquet(f"{work}/out").select("url")
 
 
+@query(
+    "stream_unseen",
+    f"with {SQL_LINKS} select distinct href as url from links where href not in (select href from links where stored)",
+)
+def stream_unseen(spark, d):
+    """Stream state for the links of the stream, a join for those stored before."""
+    work = work_dir(spark, "stream-unseen")
+    links = raw_links(spark, d)
+    stream = staged(links.filter("not stored").select("url"), f"{work}/in")
+    fresh = jobs.unseen_links(stream, stored=links.filter("stored"))
+    jobs.write_links(fresh, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return spark.read.schema("url string").parquet(f"{work}/out")
+
+
 @query("stream_resume", "select event_id, case when event_type = 'error' then 'pending' else 'done' end as state from events")
 def stream_resume(spark, d):
     """Stopped after the first half and started again: nothing is lost, repeated or done twice."""

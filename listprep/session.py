@@ -13,12 +13,18 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # small shuffles still use all cores: page parsing behind a join is heavy for its bytes
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # hot join keys are split at run time, also below an aggregate
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # whole pages travel to the HTML stage: bound the batch in rows and bytes
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # streaming state outside the heap, written as increments
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

@@ -22,7 +22,8 @@ def append_links(
     """Appends links not stored yet, the first row of each link in a batch.
 
     Batch ``n`` is stored in the folder ``batch=n``; a replay compares with the other batches only
-    and overwrites its own folder.
+    and overwrites its own folder.  Each batch reads the stored keys (one column); for a list that
+    grows without end use ``unseen_links``.
     """
 
     def sink(batch: DataFrame, number: int) -> None:
@@ -41,6 +42,26 @@ def append_links(
     )
 
 
+def unseen_links(stream: DataFrame, key: str = "url", stored: DataFrame | None = None) -> DataFrame:
+    """Links seen neither in this stream nor in a list stored before it began.
+
+    The stream's own links are kept as state, so a batch costs its own size only, not that of all
+    links so far.  Which of several rows of a link stays depends on arrival."""
+    fresh = stream if stored is None else stream.join(stored.select(key).distinct(), key, "left_anti")
+    return fresh.dropDuplicates([key])
+
+
+def write_links(links: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Appends to Parquet files, each row exactly once."""
+    return (
+        links.writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def recent_links(stream: DataFrame, time: str, delay: str, key: str = "url") -> DataFrame:
     """Bounded-state variant: a link is dropped when it was seen within the delay."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
