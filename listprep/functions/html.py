@@ -23,6 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listprep.functions.binding import let as let
 from listprep.functions.text import strip_ws
 
 # Ship the page reader with the plan, so that executors need no installed copy of this package.
@@ -337,11 +338,6 @@ def parse_html(
 # --- expressions on the dom struct -------------------------------------------------------------
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluates ``value`` once and uses it many times inside ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def below(dom: Column, node: Column) -> Column:
     """Descendants of a node, as a slice of the node array."""
     return F.slice(dom["nodes"], node["pos"] + 2, node["end"] - node["pos"])

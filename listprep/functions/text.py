@@ -6,8 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from listprep.functions.binding import let
+
 # Characters that count as blanks in Unicode text (Java's plain \s is ASCII only).
-WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Printable ASCII is ruled out first, which most characters are.
+_ODD = r"\t\n\x0b\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WS = rf"[[^!-~]&&[ {_ODD}]]"
+WS_NOT_SPACE = rf"[[^ -~]&&[{_ODD}]]"
 # Control characters removed before a tabular export.
 CONTROL = r"[\x00-\x1F\x7F-\x9F]"
 # Characters not allowed in file names, per naming scheme.
@@ -22,8 +27,8 @@ def strip_ws(c: Column) -> Column:
 
 
 def collapse_ws(c: Column) -> Column:
-    """Runs of blanks (also NBSP) become one space; ends are cut."""
-    return F.trim(F.regexp_replace(c, f"{WS}+", " "))
+    """Runs of blanks (also NBSP) become one space; ends are cut.  Single spaces are left as they are."""
+    return F.trim(F.regexp_replace(c, f"{WS_NOT_SPACE}{WS}*| {WS}+", " "))
 
 
 def drop_control(c: Column) -> Column:
@@ -47,11 +52,13 @@ def safe_file(c: Column, max_len: int | None = None, default: str | None = None)
     """Separators and rejected characters become ``_``, blanks cut; optional length cut and default."""
     name = strip_ws(F.regexp_replace(c, TITLE_FORBIDDEN, "_"))
     if max_len is not None:
-        cut = F.regexp_replace(F.left(name, F.lit(max_len)), r"[ ._]+\z", "")
-        name = F.when(F.length(name) > max_len, cut).otherwise(name)
-    if default is not None:
-        name = F.when(name == "", F.lit(default)).otherwise(name)
-    return name
+        name = let(
+            name,
+            lambda n: F.when(
+                F.length(n) > max_len, F.regexp_replace(F.left(n, F.lit(max_len)), r"[ ._]+\z", "")
+            ).otherwise(n),
+        )
+    return name if default is None else F.coalesce(F.nullif(name, F.lit("")), F.lit(default))
 
 
 def safe_title(title: Column, index: Column) -> Column:
@@ -62,10 +69,11 @@ def safe_title(title: Column, index: Column) -> Column:
     name = F.regexp_replace(name, r"^_+|_+$", "")
     name = F.regexp_replace(name, r"[^\p{L}\p{N}_-]", "")
     page = F.concat(F.lit("page_"), index.cast("string"))
-    filled = (
-        F.when(name == "", page)
-        .when(F.length(name) < 3, F.concat(page, F.lit("_"), name))
-        .otherwise(F.left(name, F.lit(100)))
+    filled = let(
+        name,
+        lambda n: F.when(n == "", page)
+        .when(F.length(n) < 3, F.concat(page, F.lit("_"), n))
+        .otherwise(F.left(n, F.lit(100))),
     )
     blank = strip_ws(F.coalesce(title, F.lit(""))) == ""
     return F.when(blank, F.concat(page, F.lit("_untitled"))).otherwise(filled)

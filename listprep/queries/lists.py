@@ -163,7 +163,7 @@ def sql_basic_title(t):
 def pending_or_failed(spark, d):
     from listprep.functions import text
 
-    docs = table(spark, d, "documents", "doc_id", "text", "lang", "source")
+    docs = spread(table(spark, d, "documents", "doc_id", "text", "lang", "source"))
     links = docs.select(
         F.col("source").alias("list"), F.col("doc_id").alias("pos"), first_line().alias("title"),
         F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("url"), "lang",
@@ -474,7 +474,7 @@ hits as (
 
 @query("term_search", f"with {SQL_HITS} select query, doc_id, source from hits")
 def term_search(spark, d):
-    docs = table(spark, d, "documents", "doc_id", "source", "text")
+    docs = spread(table(spark, d, "documents", "doc_id", "source", "text"))
     return search.term_hits(docs, "text", TERMS).select("query", "doc_id", "source")
 
 
@@ -483,7 +483,7 @@ def term_search(spark, d):
     f"with {SQL_HITS} select t as query, count(doc_id) as n from (select unnest([{SQL_TERMS}]) as t) left join hits on query = t group by t",
 )
 def term_counts(spark, d):
-    return search.term_counts(table(spark, d, "documents", "text"), "text", TERMS)
+    return search.term_counts(spread(table(spark, d, "documents", "text")), "text", TERMS)
 
 
 @query(

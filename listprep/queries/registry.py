@@ -33,7 +33,7 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores is dealt out before CPU-heavy page parsing.
+    """A scan with fewer splits than cores is dealt out before CPU-heavy parsing or text work.
 
     For scans only (looking at partitions must not run anything); a table of cluster size has many
     splits and passes unchanged."""

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from listprep.functions import text, times, urls
 from listprep.operators import reconcile
 from listprep.queries.lists import first_line, sql_basic_title, sql_old_title, sql_safe_title
-from listprep.queries.registry import SQL_WS, query, sql_strip, table
+from listprep.queries.registry import SQL_WS, query, spread, sql_strip, table
 
 
 def dirty(spark, d):
     """Documents with control characters and odd blanks put in."""
     mixed = F.replace("text", F.lit(". "), F.lit(".\t\u0085\u0001  \n"))
-    return table(spark, d, "documents", "doc_id", "text", "lang").select("doc_id", "lang", mixed.alias("text"))
+    docs = spread(table(spark, d, "documents", "doc_id", "text", "lang"))
+    return docs.select("doc_id", "lang", mixed.alias("text"))
 
 
 SQL_DIRTY = """
@@ -84,7 +85,7 @@ def safe_names(spark, d):
     """,
 )
 def safe_titles(spark, d):
-    docs = table(spark, d, "documents", "doc_id", "text").select("doc_id", first_line().alias("title"))
+    docs = spread(table(spark, d, "documents", "doc_id", "text")).select("doc_id", first_line().alias("title"))
     pages = table(spark, d, "pages", "page_id", "url").select((-1 - F.col("page_id")).alias("doc_id"), F.col("url").alias("title"))
     size = F.col("p_size").cast("string")
     odd = (
@@ -136,7 +137,7 @@ def transcripts(spark, d):
         .when((F.col("role") == "assistant") & (F.length("text") > 1500), F.lit(None))
         .otherwise(coded)
     )
-    return table(spark, d, "conversations").select("conv_id", "turn", raw.alias("raw"))
+    return spread(table(spark, d, "conversations")).select("conv_id", "turn", raw.alias("raw"))
 
 
 SQL_TRANSCRIPTS = f"""
