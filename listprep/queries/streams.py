@@ -8,7 +8,7 @@ from listprep.queries.lists import SQL_LINKS, raw_links
 from listprep.queries.packages import counts
 from listprep.queries.registry import query, table
 from listprep.queries.texts import SQL_TRANSCRIPTS, outcomes, transcripts
-from listprep.session import work_dir
+from listprep.session import state_partitions, work_dir
 from listprep.streaming import jobs
 
 
@@ -41,7 +41,8 @@ def stream_unseen(spark, d):
     links = raw_links(spark, d)
     stream = staged(links.filter("not stored").select("url"), f"{work}/in")
     fresh = jobs.unseen_links(stream, stored=links.filter("stored"))
-    jobs.write_links(fresh, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    with state_partitions(spark):
+        jobs.write_links(fresh, f"{work}/out", f"{work}/checkpoint").awaitTermination()
     return spark.read.schema("url string").parquet(f"{work}/out")
 
 
@@ -74,7 +75,8 @@ def stream_resume(spark, d):
 def stream_tally(spark, d):
     work = work_dir(spark, "stream-tally")
     stream = staged(outcomes(transcripts(spark, d)), f"{work}/in", 3)
-    jobs.running_tally(stream, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    with state_partitions(spark):
+        jobs.running_tally(stream, f"{work}/out", f"{work}/checkpoint").awaitTermination()
     return jobs.latest_tally(spark.read.parquet(f"{work}/out"))
 
 

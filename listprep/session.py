@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,18 @@ def build(app: str = "listprep", master: str | None = None, cores: int | None =
     return tune(builder.getOrCreate())
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, count: int | None = None) -> Iterator[None]:
+    """Number of state partitions of streams started inside; it stays fixed for their whole life.
+    By default one per core, as each one is a store that every batch opens."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(count or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
