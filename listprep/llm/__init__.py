@@ -6,6 +6,8 @@ MODULES = (
     "licenses",
     "exact",
     "mixing",
+    "secrets",
+    "bpe",
     "quality",
 )
 
