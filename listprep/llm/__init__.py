@@ -5,6 +5,7 @@ from importlib import import_module
 MODULES = (
     "licenses",
     "exact",
+    "simhash",
     "mixing",
     "secrets",
     "bpe",
