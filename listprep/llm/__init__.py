@@ -3,6 +3,7 @@
 from importlib import import_module
 
 MODULES = (
+    "classifier",
     "licenses",
     "exact",
     "simhash",
