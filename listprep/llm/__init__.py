@@ -8,6 +8,7 @@ MODULES = (
     "exact",
     "simhash",
     "mixing",
+    "toxicity",
     "secrets",
     "bpe",
     "quality",
