@@ -8,6 +8,7 @@ MODULES = (
     "exact",
     "simhash",
     "mixing",
+    "suffixes",
     "toxicity",
     "secrets",
     "bpe",

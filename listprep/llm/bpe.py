@@ -275,6 +275,15 @@ def digests(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) ->
     return _mapped(docs, path, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string", _sums)
 
 
+def tokens(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """As ``digests``, with the ids themselves."""
+    return _mapped(docs, path, keep, "ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string", _both)
+
+
+def _both(encoder: Encoder, coded):
+    return [pa.array([ids.astype(np.int32) for ids, _ in coded], pa.list_(pa.int32())), *_sums(encoder, coded)]
+
+
 def _arrays(encoder: Encoder, coded):
     return [
         pa.array([ids.astype(np.int32) for ids, _ in coded], pa.list_(pa.int32())),

@@ -41,6 +41,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows of narrow columns (below 100 bytes) up to which a side is broadcast: at most 20 MB.
+BROADCAST_ROWS = 200_000
+
+
+def narrow(df: DataFrame) -> DataFrame:
+    """A stored table of a few narrow columns, to be broadcast where its count shows that it is small; otherwise it is
+    joined by a shuffle. Either way the rows of the join are the same."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def whole(text: Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(text.cast("string"), F.lit(""))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from listprep.llm import flat
 from listprep.llm.graph import components
-from listprep.llm.registry import documents, query, stored
+from listprep.llm.registry import documents, narrow, query, stored
 
 BITS = 64
 WIDTH = 4
@@ -197,10 +197,10 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, load: int = LOAD, wid
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's, with all their columns."""
-    first = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, docs.doc_id.cast("long").eqNullSafe(first._first), "left_semi")
+    """The rows of ``docs`` whose doc_id is their component's, with all their columns. The others are looked up."""
+    gone = near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = narrow(stored(gone.select(F.col("doc_id").alias("_gone")).distinct(), "simhash-gone"))
+    return docs.join(gone, docs.doc_id.cast("long").eqNullSafe(gone._gone), "left_anti")
 
 
 @query("op4_simhash_near_dedup")
