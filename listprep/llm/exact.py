@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listprep.llm.registry import BLANKS, documents, query, stored, whole
+from listprep.llm.registry import BLANKS, documents, narrow, query, stored, whole
 from listprep.session import work_dir
 
 # State on disk; its native memory is bounded for each executor.
@@ -124,7 +124,7 @@ def newest(spark: SparkSession, out: str) -> DataFrame:
 
 def _sides(docs: DataFrame, state: DataFrame, digest) -> DataFrame:
     """Texts of all groups with several rows, with their kept row and a slice number."""
-    groups = state.filter("group_size > 1").withColumnsRenamed({"digest": "_d"})
+    groups = narrow(state.filter("group_size > 1").withColumnsRenamed({"digest": "_d"}))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text")).alias("text"))
     texts = texts.withColumn("digest", digest(F.col("text")))
     return texts.join(groups, texts.digest == groups._d).select("doc_id", "text", "digest", "keep_id", "group_size")
@@ -194,11 +194,13 @@ def deduplicate(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    flags = deduplicate(docs).filter("kept").select(F.col("doc_id").alias("_kept_id"), "text_sha256").distinct()
+    """The rows of ``docs`` that stay, with all their columns. Those that go are the smaller part, so they are looked
+    up, and texts stay where they are if there are few."""
+    gone = deduplicate(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_sha"))
+    gone = narrow(stored(gone.distinct(), "exact-gone"))
     own = docs.withColumn("_digest", sha256(normalised(F.col("text"))))
-    same = own.doc_id.cast("long").eqNullSafe(flags._kept_id) & (own._digest == flags.text_sha256)
-    return own.join(flags, same, "left_semi").select(*[own[f"`{c}`"] for c in docs.columns])
+    match = own.doc_id.cast("long").eqNullSafe(gone._gone_id) & (own._digest == gone._sha)
+    return own.join(gone, match, "left_anti").select(*[own[f"`{c}`"] for c in docs.columns])
 
 
 @query(
