@@ -108,15 +108,15 @@ def drop_time_codes(text: Column) -> Column:
 
 
 def title_or(element: Column, window_title: Column, url: Column) -> Column:
-    """Element text, else the window title before its first `` - ``, else a short id made from the url."""
+    """Element text, else the window title before its first `` - ``, else an id made from the url."""
     first = strip_ws(F.get(F.split(window_title, " - "), F.lit(0)))
-    short = F.substring(F.sha2(url, 256), 1, 6)
+    short = F.sha2(url, 256)
     return F.coalesce(F.nullif(strip_ws(element), F.lit("")), F.nullif(first, F.lit("")), short)
 
 
 def channel_or(element: Column, window_title: Column, url: Column, site: str = "YouTube") -> Column:
-    """Element text, else the last `` - `` part of the window title without the site name, else a short id."""
+    """Element text, else the last `` - `` part of the window title without the site name, else such an id."""
     parts = F.split(window_title, " - ")
     last = F.when(F.size(parts) > 1, strip_ws(F.replace(F.element_at(parts, -1), F.lit(site), F.lit(""))))
-    short = F.substring(F.sha2(url, 256), 1, 6)
+    short = F.sha2(url, 256)
     return F.coalesce(F.nullif(strip_ws(element), F.lit("")), F.nullif(last, F.lit("")), short)

@@ -83,30 +83,36 @@ def quarantine(df: DataFrame, is_bad: Column) -> tuple[DataFrame, DataFrame]:
 
 
 def pending_or_failed(links: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Links still to be processed: no output under any of the three naming schemes, or the first
-    output found holds an error.
-
-    links: list, pos, title, url (``pos`` unique in a list).  outputs: list, safe_name, has_error (last writer wins upstream).
-    """
-    candidates = F.array(
-        *[
-            F.struct(F.lit(i).alias("rank"), name.alias("safe_name"))
-            for i, name in enumerate(
-                [
-                    text.safe_title(F.col("title"), F.col("pos")),
-                    text.old_title(F.col("title")),
-                    text.basic_title(F.col("title")),
-                ]
-            )
-        ]
+    """Links still to be processed: without an output, or with one that holds an error.
+
+    links: list, pos, title, url (``pos`` unique in a list).  outputs: list, has_error, and ``url`` or ``safe_name`` or
+    both.  An output with a url belongs to the links with that url.  One without is found by its name, under any of the
+    three naming schemes, the first scheme first; names are cut and cleaned, so a name that several links of the list
+    would have tells nothing, and those links stay pending.  Of several outputs one with an error counts.
+
+    Only positions and names are shuffled to find the outputs; the links meet the result once."""
+    names = [
+        text.safe_title(F.col("title"), F.col("pos")),
+        text.old_title(F.col("title")),
+        text.basic_title(F.col("title")),
+    ]
+    tried = links.select(
+        "list", "pos", F.posexplode(F.array(*names)).alias("rank", "safe_name")
     )
-    tried = links.select("list", "pos", "title", "url", F.inline(candidates))
-    known = outputs.groupBy("list", "safe_name").agg(F.bool_or("has_error").alias("has_error"))
-    return (
-        join_unique(tried, known, ["list", "safe_name"], "left")
-        .groupBy("list", "pos", "title", "url")
-        # rank and error flag in one integer: the smallest is the first scheme that has an output
-        .agg(F.min(F.col("rank") * 2 + F.col("has_error").cast("int")).alias("_hit"))
-        .filter(F.col("_hit").isNull() | (F.col("_hit") % 2 == 1))
-        .select("list", "pos", "title", "url", F.col("_hit").isNotNull().alias("failed_before"))
+    # names of exactly one link, with the first scheme that gives them
+    own = tried.groupBy("list", "safe_name").agg(F.min("pos").alias("pos"), F.max("pos").alias("_last"), F.min("rank").alias("rank"))
+    own = own.filter(F.col("pos") == F.col("_last"))
+    named = outputs
+    if "url" in outputs.columns:
+        named = outputs.filter(F.col("url").isNull())
+    named = named.groupBy("list", "safe_name").agg(F.bool_or("has_error").alias("has_error"))
+    # rank and error flag in one integer: the smallest is the first scheme that has an output
+    hit = F.min(F.col("rank") * 2 + F.col("has_error").cast("int")).alias("_hit")
+    by_name = own.join(named, ["list", "safe_name"]).groupBy("list", "pos").agg(hit)
+    found = join_unique(links, by_name, ["list", "pos"], "left").withColumn("_failed", F.col("_hit") % 2 == 1)
+    if "url" in outputs.columns:
+        by_url = outputs.filter(F.col("url").isNotNull()).groupBy("list", "url").agg(F.bool_or("has_error").alias("_error"))
+        found = join_unique(found, by_url, ["list", "url"], "left").withColumn("_failed", F.coalesce("_error", "_failed"))
+    return found.filter(F.coalesce("_failed", F.lit(True))).select(
+        "list", "pos", "title", "url", F.col("_failed").isNotNull().alias("failed_before")
     )

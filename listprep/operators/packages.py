@@ -44,9 +44,11 @@ def latest_version(listing: DataFrame, keys: Sequence[str], version: str = "vers
     if order == "lexical":
         return numeric.groupBy(*keys).agg(F.max(version).alias("latest"))
     if order == "numeric":
-        parts = F.transform(
-            F.filter(F.split(F.col(version), r"\."), lambda p: p != ""), lambda p: p.cast("decimal(38,0)")
+        # numbers of any length: without leading zeros the longer one is larger, else the text decides
+        bare = F.transform(
+            F.filter(F.split(F.col(version), r"\."), lambda p: p != ""), lambda p: F.regexp_replace(p, "^0+(?=.)", "")
         )
+        parts = F.transform(bare, lambda p: F.struct(F.length(p).alias("digits"), p.alias("number")))
         return numeric.groupBy(*keys).agg(F.max(F.struct(parts.alias("parts"), F.col(version))).alias("_m")).select(
             *keys, F.col(f"_m.{version}").alias("latest")
         )

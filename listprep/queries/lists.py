@@ -116,10 +116,6 @@ def pending_keys(spark, d):
     return membership.without_known(parts, done, ["p_partkey"])
 
 
-def first_line():
-    return F.get(F.split("text", "\n"), F.lit(0))
-
-
 def sql_safe_title(t, i):
     blank = f"{sql_strip(t)} = ''"
     name = f"regexp_replace({t}, '[''\"!@#$%^&*()+=\\[\\]{{}};:,.<>?/\\\\|`~]', '_', 'g')"
@@ -142,40 +138,60 @@ def sql_basic_title(t):
     return f"left(replace(regexp_replace({t}, '[\\\\/*?:\"<>|]', '_', 'g'), ' ', '_'), 100)"
 
 
+# Every line of every document is the title of a link.
+SQL_LINES = """
+    lines as (
+      select doc_id * 1000000 + i as pos, list_extract(string_split(text, chr(10)), i) as title, source as list, lang, doc_id,
+             'doc:' || doc_id || ':' || i as url
+      from (select *, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i from documents))"""
+
+
+def line_links(spark, d):
+    docs = table(spark, d, "documents", "doc_id", "text", "lang", "source")
+    lines = docs.select("doc_id", "lang", F.col("source").alias("list"), F.posexplode(F.split("text", "\n")).alias("i", "title"))
+    place = F.col("i") + 1
+    return lines.select(
+        "list", (F.col("doc_id") * 1000000 + place).alias("pos"), "title",
+        F.concat_ws(":", F.lit("doc"), "doc_id", place).alias("url"), "lang", "doc_id",
+    )
+
+
 @query(
     "pending_or_failed",
     f"""
-    with links as (select source as list, doc_id as pos, split_part(text, chr(10), 1) as title, lang from documents),
+    with {SQL_LINES},
     named as (select *, {sql_safe_title('title', 'pos')} as n0, {sql_old_title('title')} as n1,
-                     {sql_basic_title('title')} as n2 from links),
-    outputs as (
-      select n.list, case lang when 'en' then n0 when 'fr' then n1 else n2 end as safe_name, bool_or(toxic = 1) as err
-      from named n join labels l on l.doc_id = n.pos group by 1, 2),
-    tried as (
-      select n.list, n.pos, n.title, a.err as e0, b.err as e1, c.err as e2 from named n
-      left join outputs a on a.list = n.list and a.safe_name = n.n0
-      left join outputs b on b.list = n.list and b.safe_name = n.n1
-      left join outputs c on c.list = n.list and c.safe_name = n.n2)
-    select list, pos, title, 'doc:' || pos as url, coalesce(e0, e1, e2) is not null as failed_before
-    from tried where coalesce(e0, e1, e2, true)
+                     {sql_basic_title('title')} as n2 from lines),
+    done as (
+      select n.*, case lang when 'en' then n0 when 'fr' then n1 when 'de' then n2 end as safe_name, toxic = 1 as err
+      from named n join labels l using (doc_id)),
+    by_url as (select list, url, bool_or(err) as err from done where safe_name is null group by 1, 2),
+    by_name as (select list, safe_name, bool_or(err) as err from done where safe_name is not null group by 1, 2),
+    tries as (
+      select list, pos, 0 as rank, n0 as safe_name from named union all
+      select list, pos, 1, n1 from named union all select list, pos, 2, n2 from named),
+    own as (
+      select list, safe_name, min(pos) as pos, min(rank) as rank from tries group by 1, 2 having count(distinct pos) = 1),
+    hits as (select list, pos, arg_min(err, rank) as err from own join by_name using (list, safe_name) group by 1, 2)
+    select n.list, n.pos, n.title, n.url, coalesce(u.err, h.err) is not null as failed_before
+    from named n left join by_url u on u.list = n.list and u.url = n.url left join hits h on h.list = n.list and h.pos = n.pos
+    where coalesce(u.err, h.err, true)
     """,
 )
 def pending_or_failed(spark, d):
     from listprep.functions import text
 
-    docs = spread(table(spark, d, "documents", "doc_id", "text", "lang", "source"))
-    links = docs.select(
-        F.col("source").alias("list"), F.col("doc_id").alias("pos"), first_line().alias("title"),
-        F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("url"), "lang",
-    )
+    links = line_links(spark, d)
     title = F.col("title")
     name = (
         F.when(F.col("lang") == "en", text.safe_title(title, F.col("pos")))
         .when(F.col("lang") == "fr", text.old_title(title))
-        .otherwise(text.basic_title(title))
+        .when(F.col("lang") == "de", text.basic_title(title))
     )
-    labels = table(spark, d, "labels", "doc_id", "toxic").select(F.col("doc_id").alias("pos"), "toxic")
-    outputs = links.join(labels, "pos").select("list", name.alias("safe_name"), (F.col("toxic") == 1).alias("has_error"))
+    labels = table(spark, d, "labels", "doc_id", "toxic")
+    done = links.withColumn("safe_name", name).join(labels, "doc_id")
+    url = F.when(F.col("safe_name").isNull(), F.col("url")).alias("url")
+    outputs = done.select("list", "safe_name", url, (F.col("toxic") == 1).alias("has_error"))
     return membership.pending_or_failed(links, outputs)
 
 

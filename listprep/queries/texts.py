@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from listprep.functions import text, times, urls
 from listprep.operators import reconcile
-from listprep.queries.lists import first_line, sql_basic_title, sql_old_title, sql_safe_title
+from listprep.queries.lists import SQL_LINES, line_links, sql_basic_title, sql_old_title, sql_safe_title
 from listprep.queries.registry import SQL_WS, query, spread, sql_strip, table
 
 
@@ -72,8 +72,9 @@ def safe_names(spark, d):
 @query(
     "safe_titles",
     f"""
-    with t as (
-      select doc_id, split_part(text, chr(10), 1) as title from documents
+    with {SQL_LINES},
+    t as (
+      select pos as doc_id, title from lines
       union all
       select -1 - page_id, url from pages
       union all
@@ -85,7 +86,7 @@ def safe_names(spark, d):
     """,
 )
 def safe_titles(spark, d):
-    docs = spread(table(spark, d, "documents", "doc_id", "text")).select("doc_id", first_line().alias("title"))
+    docs = line_links(spark, d).select(F.col("pos").alias("doc_id"), "title")
     pages = table(spark, d, "pages", "page_id", "url").select((-1 - F.col("page_id")).alias("doc_id"), F.col("url").alias("title"))
     size = F.col("p_size").cast("string")
     odd = (
@@ -184,9 +185,9 @@ def outcome_tally(spark, d):
     with t as (
       select page_id, url, case when length(url) % 3 = 0 then ' ' else ' T' || page_id || ' ' end as element,
         case when length(url) % 2 = 0 then ' ' || url || ' - Channel YouTube' else ' ' end as win from pages)
-    select page_id, coalesce(nullif(trim(element), ''), nullif(trim(split_part(win, ' - ', 1)), ''), left(sha256(url), 6)) as title,
+    select page_id, coalesce(nullif(trim(element), ''), nullif(trim(split_part(win, ' - ', 1)), ''), sha256(url)) as title,
       coalesce(nullif(case when win like '% - %' then trim(replace(split_part(win, ' - ', 2), 'YouTube', '')) end, ''),
-               left(sha256(url), 6)) as channel
+               sha256(url)) as channel
     from t
     """,
 )
@@ -259,11 +260,11 @@ def absolute_urls(spark, d):
     """
     select page_id, n, regexp_replace(url, 'page=[0-9]+', 'page=' || n) as url,
            'https://search.example/v1?text=' || page_id || '&size=250&from=' || (n - 1) * 250 as search
-    from pages, (select unnest([1, 2, 3]) as n) where url like '%page=%'
+    from pages, (select unnest([1, 2, 3]) as n)
     """,
 )
 def page_urls(spark, d):
-    listing = table(spark, d, "pages", "page_id", "url").filter(F.col("url").contains("page="))
+    listing = table(spark, d, "pages", "page_id", "url")
     numbered = listing.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3))))
     search = urls.search_url("https://search.example/v1", F.col("page_id").cast("string"), 250, (F.col("n") - 1) * 250)
     return numbered.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from listprep.functions.text import clean_strings
@@ -14,6 +14,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder; none if it does not exist."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in system.listStatus(target)) if system.exists(target) else []
+
+
 def write_csv(df: DataFrame, path: str, append: bool = False) -> None:
     """Every value quoted, always with a header."""
     mode = "append" if append else "overwrite"
@@ -79,11 +86,16 @@ def write_playlists(df: DataFrame, path: str, by: str = "playlist", url: str = "
 
 
 def write_report(changes: DataFrame, path: str) -> bool:
-    """JSON lines, one change each, only when there is a change.  Returns whether it was written."""
-    if changes.isEmpty():
-        return False
-    changes.write.mode("overwrite").json(path)
-    return True
+    """JSON lines, one change each, only when there is a change.  Returns whether it was written.
+
+    The changes are computed once: written first, and removed again when no row was seen on the way."""
+    seen = Observation()
+    changes.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(path)
+    if seen.get["rows"]:
+        return True
+    target = changes.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(changes.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return False
 
 
 def append_errors(bad: DataFrame, path: str, title: str, url: str, message: str) -> None:

@@ -1,19 +1,39 @@
 """Continuous versions of the collecting jobs.
 
-The stream checkpoint takes the place of hand-kept progress files.  Every sink is idempotent: a batch
-that is replayed after a failure replaces its own output.
+The stream checkpoint takes the place of hand-kept progress files.  A sink stores batch ``n`` of a run in
+``run=<number>-<id>/batch=<n>``, the id being that of the checkpoint: a batch that is replayed after a failure
+replaces its own output.  A run that starts anew because its progress was lost has another id, however its
+batches are cut, and looks at the rows of all other runs.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from listprep.operators.membership import append_new
-from listprep.sinks.writers import path_exists
+from listprep.operators.membership import append_new, without_known
+from listprep.sinks.writers import folders, path_exists
+
+
+def run_name(spark: SparkSession, target: str, checkpoint: str) -> str:
+    """Name of the run that belongs to a checkpoint: the one stored before, else the next number."""
+    query = json.loads("".join(r.value for r in spark.read.text(f"{checkpoint}/metadata").collect()))["id"]
+    runs = [name.removeprefix("run=") for name in folders(spark, target) if name.startswith("run=")]
+    own = [name for name in runs if name.endswith(query)]
+    return own[0] if own else f"{max([int(name[:9]) for name in runs], default=0) + 1:09d}-{query}"
+
+
+def earlier(spark: SparkSession, target: str, schema, run: str, number: int) -> DataFrame:
+    """Rows of all other runs, and of the batches of this one before ``number``."""
+    if not path_exists(spark, target):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.parquet(target)
+    names = [f.name for f in schema.fields]
+    return rows.filter((F.col("run") != run) | (F.col("batch") < number)).select(*names)
 
 
 def append_links(
@@ -21,18 +41,16 @@ def append_links(
 ) -> StreamingQuery:
     """Appends links not stored yet, the first row of each link in a batch.
 
-    Batch ``n`` is stored in the folder ``batch=n``; a replay compares with the other batches only
-    and overwrites its own folder.  Each batch reads the stored keys (one column); for a list that
-    grows without end use ``unseen_links``.
+    A batch is compared with all rows of other runs and with the batches before it, so a replay repeats no link,
+    whatever its batches.  Each batch reads the stored keys (one column); for a list that grows without end use
+    ``unseen_links``.
     """
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        stored = spark.createDataFrame([], batch.select(key).schema)
-        if path_exists(spark, target):
-            stored = spark.read.parquet(target).filter(F.col("batch") < number).select(key)
-        fresh = append_new(batch, stored, key, order)
-        fresh.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        run = run_name(spark, target, checkpoint)
+        known = earlier(spark, target, batch.select(key).schema, run, number)
+        append_new(batch, known, key, order).write.mode("overwrite").parquet(f"{target}/run={run}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(sink)
@@ -67,13 +85,20 @@ def recent_links(stream: DataFrame, time: str, delay: str, key: str = "url") ->
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def process_pending(stream: DataFrame, target: str, failed: str, checkpoint: str, is_bad) -> StreamingQuery:
-    """Splits each batch into results and failures; failures stay available as pending work."""
+def process_pending(
+    stream: DataFrame, target: str, checkpoint: str, is_bad, key: str | None = None
+) -> StreamingQuery:
+    """Splits each batch into results and failures (folders ``bad=false`` and ``bad=true`` of a batch); failures stay
+    available as pending work.  With a key, results of other runs are not stored again."""
 
     def sink(batch: DataFrame, number: int) -> None:
-        bad = F.coalesce(is_bad, F.lit(True))
-        batch.filter(~bad).write.mode("overwrite").parquet(f"{target}/batch={number}")
-        batch.filter(bad).write.mode("overwrite").parquet(f"{failed}/batch={number}")
+        spark = batch.sparkSession
+        run = run_name(spark, target, checkpoint)
+        if key and path_exists(spark, target):
+            done = spark.read.parquet(target).filter((F.col("run") != run) & (F.col("bad") == "false")).select(key)
+            batch = without_known(batch, done, [key])
+        marked = batch.withColumn("bad", F.coalesce(is_bad, F.lit(True)))
+        marked.write.mode("overwrite").partitionBy("bad").parquet(f"{target}/run={run}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(sink)
@@ -108,11 +133,13 @@ def latest_tally(df: DataFrame) -> DataFrame:
     return df.filter(F.col("as_of") == newest).drop("as_of", "slot")
 
 
-def append_snapshots(stream: DataFrame, target: str, checkpoint: str, date: str = "snapshot") -> StreamingQuery:
-    """Stores count snapshots by date; a second run for a date replaces it."""
+def append_snapshots(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Appends count snapshots; a date may come in any number of batches and again in a later one or a later run.
+    ``latest_snapshots`` reads them."""
 
-    def sink(batch: DataFrame, _number: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(target)
+    def sink(batch: DataFrame, number: int) -> None:
+        run = run_name(batch.sparkSession, target, checkpoint)
+        batch.write.mode("overwrite").parquet(f"{target}/run={run}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(sink)
@@ -120,3 +147,10 @@ def append_snapshots(stream: DataFrame, target: str, checkpoint: str, date: str
         .trigger(availableNow=True)
         .start()
     )
+
+
+def latest_snapshots(stored: DataFrame, keys: Sequence[str] = ("snapshot", "query")) -> DataFrame:
+    """The row stored last for each date and query.  Of several in one batch the largest stays."""
+    rest = [c for c in stored.columns if c not in (*keys, "run", "batch")]
+    newest = F.max(F.struct("run", F.col("batch").cast("long").alias("batch"), *rest)).alias("_row")
+    return stored.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])

@@ -125,3 +125,29 @@ def test_recent_links_bounded_state(spark, tmp_path):
     )
     query.awaitTermination()
     assert sorted(found) == ["a", "b"]
+
+
+def test_snapshots_spread_over_batches_keep_all_rows(spark, tmp_path):
+    rows = [("2024-01-01", f"q{i}", i) for i in range(10)]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "snapshot string, query string, n bigint"
+    for part in (rows[:4], rows[4:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    jobs.append_snapshots(stream(), out, str(tmp_path / "c1")).awaitTermination()
+    assert {tuple(r) for r in jobs.latest_snapshots(spark.read.parquet(out)).collect()} == set(rows)
+    spark.createDataFrame([("2024-01-01", "q3", 33)], schema).write.mode("append").parquet(source)
+    jobs.append_snapshots(stream(), out, str(tmp_path / "c1")).awaitTermination()
+    got = {tuple(r) for r in jobs.latest_snapshots(spark.read.parquet(out)).collect()}
+    assert got == {r for r in rows if r[1] != "q3"} | {("2024-01-01", "q3", 33)}
+
+
+def test_links_replayed_in_another_layout_stay_unique(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "url string, pos int"
+    for n in range(4):
+        spark.createDataFrame([(f"u{n * 3 + i}", i) for i in range(3)], schema).coalesce(1).write.mode("append").parquet(source)
+    for checkpoint, files in (("c1", 1), ("c2", 100), ("c3", 2)):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
+        jobs.append_links(stream, out, str(tmp_path / checkpoint)).awaitTermination()
+    assert sorted(r.url for r in spark.read.parquet(out).collect()) == sorted(f"u{i}" for i in range(12))

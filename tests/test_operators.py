@@ -59,6 +59,19 @@ def test_pending_under_three_schemes(spark):
     assert rows(got.select("title", "failed_before"), "title") == [("Bad?", False), ("C: d", True), ("None", False)]
 
 
+def test_pending_by_identity(spark):
+    long = "x" * 120
+    titles = [long + "a", long + "b", "Same!", "Same?", "Own", "Other"]
+    links = spark.createDataFrame([("l", i, t, f"u{i}") for i, t in enumerate(titles)], "list string, pos int, title string, url string")
+    outputs = spark.createDataFrame(
+        [("l", "x" * 100, None, False), ("l", "Same", None, False), ("l", "Own", None, True), ("l", None, "u0", False), ("l", "Own", "u5", False)],
+        "list string, safe_name string, url string, has_error boolean",
+    )
+    got = membership.pending_or_failed(links, outputs)
+    # names that two links would have count for none of them; a url counts for its link only
+    assert rows(got.select("pos", "failed_before"), "pos") == [(1, False), (2, False), (3, False), (4, True)]
+
+
 def test_error_records(spark):
     df = spark.createDataFrame([('{"error": "x"}',), ('{"a": {"error": 1}}',), ("{broken",), (None,)], "j string")
     assert [r[0] for r in df.select(membership.has_error(F.col("j"))).collect()] == [True, False, False, False]
@@ -67,6 +80,27 @@ def test_error_records(spark):
 # --- filters ---
 
 
+def test_keys_that_are_typed_blank_or_repeated(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k bigint, name string")
+    new = spark.createDataFrame([(2, "y"), (2, "x"), (3, "z"), (None, "n")], "k bigint, name string")
+    assert rows(enrich.upsert(old, new, "k"), "name") == [(1, "a"), (None, "d"), (None, "n"), (2, "x"), (2, "x"), (3, "z")]
+    assert rows(enrich.overlay(old, new, "k", ["name"]), "name") == [(1, "a"), (None, "d"), (2, "x"), (2, "x")]
+    blank = spark.createDataFrame([("", str(i)) for i in range(30)], "k string, name string")
+    assert enrich.upsert(blank, blank, "k").count() == 60
+
+
+def test_numbers_of_any_size(spark):
+    from listprep.functions import numbers
+    from listprep.operators import packages
+
+    versions = ["1." + "9" * 40, "1.1" + "0" * 40, "01.2", "1.0010"]
+    df = spark.createDataFrame([("p", v) for v in versions], "pkg string, version string")
+    assert packages.latest_version(df, ["pkg"], order="numeric").first().latest == "1.1" + "0" * 40
+    df = spark.createDataFrame([(5 * 10**14, 3), (9223372036854775807, 9223372036854775807), (1, 0)], "a bigint, b bigint")
+    got = [r[0] for r in df.select(numbers.percent_2dp(F.col("a"), F.col("b")).cast("decimal(38,2)").cast("string")).collect()]
+    assert got == ["16666666666666666.67", "100.00", None]
+
+
 def test_lock_lines(spark):
     df = spark.createDataFrame([("    name (1.0)",), ("  * star",), ("* top",), ("*tight",), ("",), ("    bare",)], "line string")
     assert [r.name for r in filters.lock_names(df).collect()] == ["*", "*", "*tight"]
