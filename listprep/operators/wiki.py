@@ -124,10 +124,19 @@ def with_main(df: DataFrame) -> DataFrame:
     )
 
 
-def snippet(html: str = "html", length: int = 500) -> Column:
-    """The first characters of the body source, kept with error records; ``None`` as text without a body."""
+# How much of a page the usual records hold.  Every limit is a parameter; None takes all.
+SNIPPET_CHARS, REFERENCES, PARAGRAPHS = 500, 10, 15
+
+
+def snippet(html: str = "html", length: int | None = None) -> Column:
+    """The first characters of the body source (None: all), kept with error records; ``None`` as text without a body."""
     body = H.find(_dom()["nodes"], tag="body")
-    return F.coalesce(H.let(body, lambda b: F.left(H.markup(F.col(html), b), F.lit(length))), F.lit("None"))
+
+    def cut(b: Column) -> Column:
+        markup = H.markup(F.col(html), b)
+        return markup if length is None else F.left(markup, F.lit(length))
+
+    return F.coalesce(H.let(body, cut), F.lit("None"))
 
 
 # --- info box ------------------------------------------------------------------------------------
@@ -260,15 +269,25 @@ def _following(node: Column) -> Column:
     return F.filter(rest, lambda n: n["parent"] == node["parent"])
 
 
-def _regular_parts(head: Column) -> Column:
-    """Parts of the siblings up to the next heading sibling."""
+def _regular_parts(head: Column, stop: Column) -> Column:
+    """Parts of the siblings before ``stop``, the next heading sibling."""
+    nodes = _dom()["nodes"]
+    between = F.slice(nodes, head["pos"] + 2, F.greatest(stop - head["pos"] - 1, F.lit(0)))
+    own = F.filter(between, lambda n: n["parent"] == head["parent"])
+    return F.flatten(F.filter(F.transform(own, _part), lambda p: p.isNotNull()))
+
+
+def _with_stops(heads: Column) -> Column:
+    """Each heading with the position of the next one under the same parent, or the end of the parent.
+
+    So the slices of all sections together are as long as the page."""
+    nodes = _dom()["nodes"]
 
-    def until(siblings: Column) -> Column:
-        stop = H.find(siblings, tag=list(SECTION_TAGS))["pos"]
-        own = F.filter(siblings, lambda n: stop.isNull() | (n["pos"] < stop))
-        return F.flatten(F.filter(F.transform(own, _part), lambda p: p.isNotNull()))
+    def stop(h: Column, i: Column) -> Column:
+        later = F.filter(F.slice(heads, i + 2, F.size(heads)), lambda x: x["parent"] == h["parent"])
+        return F.coalesce(F.get(later, F.lit(0))["pos"], F.get(nodes, h["parent"])["end"] + 1)
 
-    return H.let(_following(head), until)
+    return F.transform(heads, lambda h, i: F.struct(h.alias("head"), stop(h, i).alias("stop")))
 
 
 def _contents_parts(head: Column) -> Column:
@@ -300,28 +319,31 @@ def _first_parts(head: Column) -> Column:
     return H.let(value, lambda v: _not_empty(F.array(H.tight(dom, v))))
 
 
-def _reference_parts(head: Column, limit: int = 10) -> Column:
+def _reference_parts(head: Column, limit: int | None) -> Column:
     dom = _dom()
     box = H.find(_following(head), tag="div", cls="mw-references-wrap")
     items = H.let(box, lambda b: _texts(H.find_all(H.below(dom, b), tag="span", cls="reference-text")))
-    return F.slice(_not_empty(items), 1, limit)
+    return _not_empty(items) if limit is None else F.slice(_not_empty(items), 1, limit)
 
 
-def sections() -> Column:
+def sections(references: int | None = None) -> Column:
     """Sections of ``main``: level, title and content; the first of equal titles is kept.
 
+    ``references`` limits the entries of reference sections (None: all).
+
     Needs the columns ``main`` and ``infobox``.  All slices are page-local, so nothing is shuffled."""
     dom = _dom()
     box = lower_keys(F.col("infobox"))
 
-    def section(head: Column, lookup: Column) -> Column:
+    def section(placed: Column, lookup: Column) -> Column:
+        head = placed["head"]
         title = H.tight(dom, head)
         name = F.lower(title)
         parts = (
             F.when(name == "contents", _contents_parts(head))
             .when(name == "first", _first_parts(head))
-            .when(name.contains("links") | name.contains("references"), _reference_parts(head))
-            .otherwise(_regular_parts(head))
+            .when(name.contains("links") | name.contains("references"), _reference_parts(head, references))
+            .otherwise(_regular_parts(head, placed["stop"]))
         )
         known = F.filter(F.array(alias_value(lookup, title)), lambda v: v.isNotNull())
         none = F.array().cast("array<string>")
@@ -331,26 +353,27 @@ def sections() -> Column:
             F.array_join(F.concat(known, F.coalesce(parts, none)), "\n").alias("content"),
         )
 
-    def first_titles(titles: Column, heads: Column) -> Column:
-        return F.filter(heads, lambda h, i: F.array_position(titles, H.tight(dom, h)) == i + 1)
+    def first_titles(titles: Column, placed: Column) -> Column:
+        return F.filter(placed, lambda p, i: F.array_position(titles, F.get(titles, i)) == i + 1)
 
     heads = H.find_all(H.below(dom, F.col("main")), tag=list(SECTION_TAGS))
-    kept = H.let(heads, lambda hs: first_titles(_texts(hs), hs))
-    return H.let(box, lambda lookup: F.transform(kept, lambda h: section(h, lookup)))
+    kept = H.let(heads, lambda hs: H.let(_texts(hs), lambda titles: first_titles(titles, _with_stops(hs))))
+    return H.let(box, lambda lookup: F.transform(kept, lambda p: section(p, lookup)))
 
 
 # --- main text, categories -----------------------------------------------------------------------
 
 
-def main_text(max_paragraphs: int = 15) -> Column:
-    """Marked blocks, else the first paragraphs; then collapsed blocks and captions."""
+def main_text(max_paragraphs: int | None = None) -> Column:
+    """Marked blocks, else the first paragraphs (None: all); then collapsed blocks and captions."""
     dom = _dom()
 
     def of_main(inner: Column) -> Column:
         marked = _not_empty(_texts(H.find_all(inner, tag="div", cls="marvel_database_section")))
-        plain = F.filter(
-            _texts(F.slice(H.find_all(inner, tag="p"), 1, max_paragraphs)), lambda t: F.length(t) > 10
-        )
+        paragraphs = H.find_all(inner, tag="p")
+        if max_paragraphs is not None:
+            paragraphs = F.slice(paragraphs, 1, max_paragraphs)
+        plain = F.filter(_texts(paragraphs), lambda t: F.length(t) > 10)
         collapsed = F.transform(
             F.filter(_texts(H.find_all(inner, tag="div", cls="mw-collapsible-content")), lambda t: F.length(t) > 20),
             lambda t: F.concat(F.lit(COLLAPSED_PREFIX), t),
@@ -378,24 +401,33 @@ def categories() -> Column:
     return F.array_sort(F.array_distinct(_not_empty(_texts(F.filter(dom["nodes"], is_category)))))
 
 
-def page_records(df: DataFrame, *keep: str, html: str = "html") -> DataFrame:
-    """Full page records from a frame with ``dom`` and the source text: good, gallery and error pages in one schema."""
+def page_records(
+    df: DataFrame,
+    *keep: str,
+    html: str = "html",
+    references: int | None = None,
+    paragraphs: int | None = None,
+    snippet_chars: int | None = None,
+) -> DataFrame:
+    """Full page records from a frame with ``dom`` and the source text: good, gallery and error pages in one schema.
+
+    The limits take all by default; ``REFERENCES``, ``PARAGRAPHS`` and ``SNIPPET_CHARS`` are the usual ones."""
     framed = with_main(df).withColumn("infobox", infobox())
     page, gallery = F.col("kind") == "page", F.col("kind") == "gallery"
     gallery_sections = F.array(
         F.struct(F.lit(2).alias("level"), F.lit("Gallery").alias("title"), F.lit(GALLERY_SECTION).alias("content"))
     )
-    source = F.when(page, H.markup(F.col(html), F.col("main"))).when(gallery, snippet(html))
+    source = F.when(page, H.markup(F.col(html), F.col("main"))).when(gallery, snippet(html, snippet_chars))
     return framed.select(
         *keep,
         F.coalesce("page_title", F.lit("")).alias("title"),
-        F.when(page, main_text()).when(gallery, F.lit(GALLERY_TEXT)).alias("main_content"),
-        F.when(page, sections()).when(gallery, gallery_sections).alias("sections"),
+        F.when(page, main_text(paragraphs)).when(gallery, F.lit(GALLERY_TEXT)).alias("main_content"),
+        F.when(page, sections(references)).when(gallery, gallery_sections).alias("sections"),
         F.when(page | gallery, F.col("infobox")).alias("infobox"),
         F.when(page, categories()).when(gallery, F.array(F.lit("Gallery"))).alias("categories"),
         source.alias("raw_html"),
         F.when(F.col("kind") == "error", F.lit(NO_MAIN)).alias("error"),
-        F.when(F.col("kind") == "error", snippet(html)).alias("html_snippet"),
+        F.when(F.col("kind") == "error", snippet(html, snippet_chars)).alias("html_snippet"),
     )
 
 

@@ -537,7 +537,7 @@ SQL_REFERENCES = f" || {NL} || ".join(f"'Ref {i} of ' || k" for i in range(1, 11
 )
 def wiki_sections(spark, d):
     pages = with_infobox(spark, d).filter("kind = 'page'")
-    found = pages.select("p_partkey", F.posexplode(wiki.sections()).alias("pos", "s"))
+    found = pages.select("p_partkey", F.posexplode(wiki.sections(wiki.REFERENCES)).alias("pos", "s"))
     return found.select("p_partkey", "pos", "s.level", "s.title", "s.content")
 
 
@@ -552,7 +552,7 @@ def wiki_sections(spark, d):
     """,
 )
 def wiki_main(spark, d):
-    return wiki_main_blocks(spark, d).filter("kind = 'page'").select("p_partkey", wiki.main_text().alias("main_content"))
+    return wiki_main_blocks(spark, d).filter("kind = 'page'").select("p_partkey", wiki.main_text(wiki.PARAGRAPHS).alias("main_content"))
 
 
 @query(
