@@ -70,13 +70,13 @@ def present_in_index(plan: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def fetch_state(plan: DataFrame, index: DataFrame, inventory: DataFrame) -> DataFrame:
-    """State of each planned file against remote size and local size (path, size; one row per path).
+    """State of each planned file against remote size and local size (path, size; of a repeated path the largest).
 
     missing: not on the remote side; full: nothing local; complete: sizes equal; resume: the local
     file is shorter, go on at its end; oversize: the local file is longer, fetch again.
     """
-    remote = index.select("path", F.col("size").alias("remote_size"))
-    local = inventory.select("path", F.col("size").alias("local_size"))
+    remote = index.groupBy("path").agg(F.max("size").alias("remote_size"))
+    local = inventory.groupBy("path").agg(F.max("size").alias("local_size"))
     joined = plan.join(remote, "path", "left").join(local, "path", "left")
     r, have = F.col("remote_size"), F.col("local_size")
     state = (

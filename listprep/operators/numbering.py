@@ -61,8 +61,11 @@ def page_of(number: Column, page_size: int) -> Column:
     return F.call_function("div", number - 1, F.lit(page_size))
 
 
-def paginate(df: DataFrame, key: str, page_size: int = 50_000) -> DataFrame:
-    """Adds ``page``: consecutive pages of ``page_size`` rows by key order."""
+def paginate(df: DataFrame, key: str, page_size: int = 50_000, max_pages: int = 0) -> DataFrame:
+    """Adds ``page``: consecutive pages of ``page_size`` rows by key order; with a budget only the first pages, and
+    then only their rows are numbered."""
+    if max_pages:
+        df = first_page(df, key, size=max_pages * page_size)
     numbered = number_rows(df, [key], number="_rn")
     return numbered.withColumn("page", page_of(F.col("_rn"), page_size)).drop("_rn")
 

@@ -29,6 +29,12 @@ def split_versions(df: DataFrame, version: str = "version") -> tuple[DataFrame,
     return df.filter(ok), df.filter(~ok)
 
 
+def ranked_versions(df: DataFrame, n: int = 20, package: str = "pkg", version: str = "version") -> tuple[DataFrame, DataFrame]:
+    """(``top_versions``, the distinct versions that have no rank as they are invalid or over 64 bits)."""
+    _, invalid = split_versions(df.select(package, version), version)
+    return top_versions(df, n, package, version), invalid.distinct()
+
+
 def head_versions(df: DataFrame, n: int = 3, package: str = "pkg", pos: str = "pos") -> DataFrame:
     """The first ``n`` versions per package in the given order."""
     given = Window.partitionBy(package).orderBy(pos)

@@ -31,9 +31,11 @@ def snapshot_diff(counts: DataFrame) -> DataFrame:
 
     Every query of the newer one is looked at: ``error`` when either count failed, ``new`` when the
     older one does not have it, ``changed`` when the counts differ.  Errors come last, then the
-    largest change first.  One pass and one shuffle: both snapshots meet in one aggregation.
+    largest change first.  Only the rows of the two snapshots are read: the older name filters the scan, or prunes
+    the folders of stored snapshots, before anything is counted; then both meet in one aggregation.
     """
     pair = F.broadcast(latest_two(counts))  # always two rows
+    counts = counts.filter(F.col("snapshot") >= latest_two(counts).agg(F.min("snapshot")).scalar())
     now, old = F.col("role") == "current", F.col("role") == "previous"
     both = (
         counts.join(pair, "snapshot")

@@ -21,9 +21,13 @@ def artifact_mirror(artifacts: DataFrame, listing: DataFrame, index: DataFrame,
     return packages.version_changes(checked, COORDS), state
 
 
-def package_mirror(versions: DataFrame, have: DataFrame, keep: int = 20, scoped: str = "as_written") -> DataFrame:
-    """Files of the ``keep`` highest versions per package (pkg, version) not in ``have`` (path)."""
-    return fetchplan.npm_plan(packages.top_versions(versions, keep), have, scoped=scoped)
+def package_mirror(
+    versions: DataFrame, have: DataFrame, keep: int = 20, scoped: str = "as_written"
+) -> tuple[DataFrame, DataFrame]:
+    """(files of the ``keep`` highest versions per package (pkg, version) not in ``have`` (path), versions set aside
+    as they have no order)."""
+    ranked, invalid = packages.ranked_versions(versions, keep)
+    return fetchplan.npm_plan(ranked, have, scoped=scoped), invalid
 
 
 def crate_mirror(fresh: DataFrame, known: DataFrame, versions: DataFrame, done: DataFrame, keep: int = 3) -> DataFrame:

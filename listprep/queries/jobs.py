@@ -93,7 +93,25 @@ def package_mirror(spark, d):
     have = versions.filter(F.col("version").contains("-rc.")).select(
         joined(F.col("pkg"), "/", F.col("pkg"), "-", F.col("version"), ".tgz").alias("path")
     )
-    return mirror.package_mirror(versions, have)
+    return mirror.package_mirror(versions, have)[0]
+
+
+@query(
+    "invalid_versions",
+    """
+    select distinct p_brand as pkg, case p_partkey % 4 when 0 then p_size || '.' || (p_partkey % 7)
+      when 1 then '0' || p_size || '.1.1' else p_size || '.1.' || repeat('9', 25) end as version
+    from part where p_partkey % 4 <> 3
+    """,
+)
+def invalid_versions(spark, d):
+    """The versions set aside: too few numbers, a leading zero, more than 64 bits."""
+    version = (
+        "case p_partkey % 4 when 0 then concat(p_size, '.', p_partkey % 7) when 1 then concat('0', p_size, '.1.1')"
+        " when 2 then concat(p_size, '.1.', repeat('9', 25)) else concat(p_size, '.1.', p_partkey) end as version"
+    )
+    versions = table(spark, d, "part").selectExpr("p_brand as pkg", version)
+    return mirror.package_mirror(versions, spark.createDataFrame([], "path string"))[1]
 
 
 @query(

@@ -410,8 +410,7 @@ def keyset_first(spark, d):
     """,
 )
 def page_budget(spark, d):
-    pages = numbering.paginate(table(spark, d, "customer", "c_custkey", "c_name"), "c_custkey", 50)
-    return numbering.page_budget(pages, "page", 2)
+    return numbering.paginate(table(spark, d, "customer", "c_custkey", "c_name"), "c_custkey", 50, max_pages=2)
 
 
 @query(
