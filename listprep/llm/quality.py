@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from listprep.llm.registry import documents, key, query, stored, whole, words
 
 # Rule: margin in thousandths (word length: tenths of a character) above the median and its spread.
-MARGINS = {"symbols": 40, "lines": 200, "phrases": 150, "capitals": 200, "length": 30}
+MARGINS = {"symbols": 40, "lines": 500, "phrases": 300, "capitals": 200, "length": 30}
 SPREAD = 6
 # Documents from which on a sketch stands for itself.
 ENOUGH = 50
