@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listprep.llm import flat
-from listprep.llm.registry import documents, query
+from listprep.llm.registry import documents, query, shipped
 
 # Symbols: what a code point is. A quote that begins 's 't 'm 'd has QUOTE2, one that begins 're 've 'll QUOTE3.
 LETTER, NUMBER, BLANK, SPACE, OTHER, QUOTE2, QUOTE3, END = range(8)
@@ -317,7 +317,7 @@ def _mapped(docs: DataFrame, path: str, keep, schema: str, columns) -> DataFrame
             yield pa.RecordBatch.from_arrays([*kept, *made], names=names)
             flat.cut_powers()
 
-    return own.mapInArrow(run, f"{fields}, {schema}")
+    return shipped(own).mapInArrow(run, f"{fields}, {schema}")
 
 
 def vocabulary() -> str:

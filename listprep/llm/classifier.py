@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listprep.llm import flat
-from listprep.llm.registry import documents, query
+from listprep.llm.registry import documents, query, shipped
 
 # Labelled rows of the fit at most, and n-grams of the model at most (those in most documents).
 TRAIN_ROWS = 5000
@@ -223,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
         body = pd.DataFrame({"gram": m.grams.view(np.int64), "ratio": m.ratios, "weight": m.weights, "head": False})
         return pd.concat([head, body])
 
-    found = own.mapInArrow(sets, "doc_id long, label int, grams array<long>")
+    found = shipped(own).mapInArrow(sets, "doc_id long, label int, grams array<long>")
     table = found.groupBy(F.lit(0).alias("k")).applyInPandas(learn, "gram long, ratio double, weight double, head boolean")
     got = table.toPandas()
     if not len(got):
@@ -250,7 +250,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), na
             yield pa.RecordBatch.from_arrays([*kept, pa.array(p)], names=[*batch.schema.names[:-1], name])
             flat.cut_powers()
 
-    return own.mapInArrow(run, f"{fields}, `{name}` double")
+    return shipped(own).mapInArrow(run, f"{fields}, `{name}` double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", accept: float = ACCEPT) -> DataFrame:

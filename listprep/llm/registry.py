@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +44,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(df: DataFrame) -> DataFrame:
+    """The frame, after the modules that its Python stages import were handed to the executors: once per application,
+    as a small archive in the shared folder."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        archive = io.BytesIO()
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for path in (package / "__init__.py", package / "session.py", *sorted((package / "llm").glob("*.py"))):
+                z.writestr(f"{package.name}/{path.relative_to(package)}", path.read_bytes())
+        target = f"{work_dir(spark, package.name)}.zip"
+        place = context._jvm.org.apache.hadoop.fs.Path(target)
+        out = place.getFileSystem(context._jsc.hadoopConfiguration()).create(place)
+        out.write(bytearray(archive.getvalue()))
+        out.close()
+        context.addPyFile(target)
+        _SHIPPED.add(context.applicationId)
+    return df
+
+
 # Rows of narrow columns (below 100 bytes) up to which a side is broadcast: at most 20 MB.
 BROADCAST_ROWS = 200_000
 

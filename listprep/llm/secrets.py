@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listprep.llm import automaton, flat
-from listprep.llm.registry import documents, query
+from listprep.llm.registry import documents, query, shipped
 
 
 @dataclass(frozen=True)
@@ -128,7 +128,7 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rules: tuple[Rule
             kept = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(found, kind)], names=[*batch.schema.names[:-1], "found"])
 
-    return own.mapInArrow(run, f"{fields}, found array<struct<kind:string,start:bigint,end:bigint>>")
+    return shipped(own).mapInArrow(run, f"{fields}, found array<struct<kind:string,start:bigint,end:bigint>>")
 
 
 def spelled(spans: Column) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from listprep.llm import flat
 from listprep.llm.graph import components
-from listprep.llm.registry import documents, narrow, query, stored
+from listprep.llm.registry import documents, narrow, query, shipped, stored
 
 BITS = 64
 WIDTH = 4
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: in
             values = pa.array(np.array(fps, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*kept, values], names=[*batch.schema.names[:-1], "fp"])
 
-    return own.mapInArrow(run, f"{fields}, fp long")
+    return shipped(own).mapInArrow(run, f"{fields}, fp long")
 
 
 @cache
@@ -173,7 +173,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, load: int = LOAD) -> DataFr
         a, b = stars(fps, lead, bits, part, part_bits, radius)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return rows.groupBy("lead", "part", "part_bits").applyInArrow(find, "a long, b long").distinct()
+    return shipped(rows).groupBy("lead", "part", "part_bits").applyInArrow(find, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, load: int = LOAD, width: int = WIDTH) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from listprep.llm import flat
 from listprep.llm.classifier import held_out, sample
-from listprep.llm.registry import documents, query
+from listprep.llm.registry import documents, query, shipped
 
 # Labelled rows of the fit and entries of the learned lexicon, at most.
 TRAIN_ROWS = 20000
@@ -241,7 +241,7 @@ def learned(rows: DataFrame) -> Lexicon:
 
     sizes = rows.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
     share = (sizes.b + 1) / (sizes.n + 2)
-    counts = rows.mapInArrow(count, "name long, bad long, good long").groupBy("name").agg(
+    counts = shipped(rows).mapInArrow(count, "name long, bad long, good long").groupBy("name").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good")
     )
     n = F.col("bad") + F.col("good")
@@ -295,7 +295,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), na
             yield pa.RecordBatch.from_arrays([*kept, pa.array(p)], names=[*batch.schema.names[:-1], name])
             flat.cut_powers()
 
-    return own.mapInArrow(run, f"{fields}, `{name}` double")
+    return shipped(own).mapInArrow(run, f"{fields}, `{name}` double")
 
 
 def rate(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic: float = TOXIC) -> DataFrame:
