@@ -47,8 +47,8 @@ def continue_list(existing: DataFrame, batch: DataFrame, key: str = "url") -> Da
     )
 
 
-def start_offset(df: DataFrame, pos: str, start: int) -> DataFrame:
-    """Rows from position ``start`` on (0-based)."""
+def start_offset(df: DataFrame, pos: str, start: int | Column) -> DataFrame:
+    """Rows from position ``start`` (a number or a scalar) on (0-based)."""
     return df.filter(F.col(pos) >= start)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listprep.functions import html as H
 from listprep.operators import extract, membership, numbering, reconcile, wiki
+from listprep.sinks import writers
 
 
 def listed_links(pages: DataFrame, base: str, kind: str = "all", page: str = "page", max_pages: int = 0) -> DataFrame:
@@ -18,6 +19,28 @@ def listed_links(pages: DataFrame, base: str, kind: str = "all", page: str = "pa
     return readers[kind](parsed, page, base=base)
 
 
+def listing_job(
+    pages: DataFrame,
+    base: str,
+    path: str,
+    kind: str = "all",
+    page: str = "page",
+    start: int = 0,
+    max_pages: int = 0,
+    mode: str = "continue",
+) -> str:
+    """Reads listing pages from page ``start`` on, at most ``max_pages`` of them (0: all), and saves their links in one
+    of the save modes (see ``save_list``).  Returns the folder; the next run starts at ``next_start``."""
+    wanted = membership.start_offset(pages, page, start)
+    links = listed_links(wanted, base, kind, page, start + max_pages if max_pages else 0)
+    return writers.save_list(links.select(page, "pos", "title", "url"), path, mode)
+
+
+def next_start(stored: DataFrame, page: str = "page") -> Column:
+    """The first page after those of a saved list, as a scalar."""
+    return stored.agg(F.coalesce(F.max(page) + 1, F.lit(0))).scalar()
+
+
 def pending_records(links: DataFrame, outputs: DataFrame, pages: DataFrame) -> DataFrame:
     """Records of the listed pages that have no good output yet.
 

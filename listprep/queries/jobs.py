@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from listprep.plans import catalog, mirror, procurement
-from listprep.queries.packages import SQL_VERSIONS, package_versions
+from listprep.queries.packages import SQL_LISTING, SQL_VERSIONS, artifact_dedup, artifact_rows, listing, local_inventory, package_versions
+from listprep.queries.packages import remote_index
 from listprep.queries.pages import SQL_CARDS, SQL_ORG_FIELDS, SQL_WIKI, WIKI_BASE, card_pages, joined, listing_pages
 from listprep.queries.pages import org_pages, wiki_pages
 from listprep.queries.pages import text as as_text
 from listprep.queries.registry import query, table
+from listprep.session import work_dir
 
 
 @query(
@@ -134,3 +136,61 @@ def crate_mirror(spark, d):
         part.select("pkg"), part.filter("p_retailprice = 900").select("pkg"), part.select("pkg", "version", "pos"),
         part.filter("p_type = 'SMALL'").select("pkg", "version"),
     )
+
+
+@query(
+    "listing_job",
+    """
+    select p_partkey // 50 as page, p_name || ' & ' || p_partkey as title, 'https://wiki.example.org/wiki/' || p_partkey as url
+    from part
+    """,
+)
+def listing_job(spark, d):
+    """A budget of three pages first, the same pages once more, then all others from where the saved list ends."""
+
+    def make(_page, items):
+        lis = F.array_join(F.transform(items, lambda a: joined("<li>", a, "</li>")), "")
+        return joined('<div id="mw-content-text"><div class="mw-allpages-body"><ul>', lis, "</ul></div></div>")
+
+    pages = listing_pages(spark, d, make)
+    path = work_dir(spark, "listing")
+    stored = lambda: spark.read.schema("page bigint, pos bigint, title string, url string").json(path)
+    for _ in range(2):
+        catalog.listing_job(pages, WIKI_BASE, path, max_pages=3)
+    catalog.listing_job(pages, WIKI_BASE, path, start=catalog.next_start(stored()))
+    return stored().select("page", "title", "url")
+
+
+@query(
+    "catalog_report",
+    """
+    with want as (select p_type as list, count(*) as n from part group by 1),
+    have as (select p_type as list, count(*) as n from part where p_size > 10 group by 1),
+    both_ as (select list, want.n as expected, coalesce(have.n, 0) as actual from want left join have using (list))
+    select list, expected, actual, 0 as is_total, expected - actual as difference, expected = actual as ok from both_
+    union all
+    select null, cast(sum(expected) as bigint), cast(sum(actual) as bigint), 1,
+           cast(sum(expected) - sum(actual) as bigint), sum(expected) = sum(actual) from both_
+    """,
+)
+def catalog_report(spark, d):
+    links = table(spark, d, "part", F.col("p_type").alias("list"), "p_size")
+    return catalog.catalog_report(links, links.filter("p_size > 10"))
+
+
+@query(
+    "artifact_mirror",
+    f"""
+    with {SQL_LISTING}
+    select group_id, artifact_id, latest_version as old_version, latest as new_version
+    from artifacts join lexical using (group_id, artifact_id) where latest <> latest_version
+    """,
+)
+def artifact_mirror(spark, d):
+    """The change report of the mirror; its fetch state is checked by ``fetch_state``."""
+    files = remote_index(spark, d)
+    artifacts = artifact_dedup(spark, d).select("group_id", "artifact_id", "latest_version")
+    owners = artifact_rows(spark, d).filter("g <> 'org.small'").selectExpr("pos as l_partkey", "g as group_id", "a as artifact_id")
+    listed = listing(spark, d).join(owners, "l_partkey")
+    changes, _ = mirror.artifact_mirror(artifacts, listed, files, local_inventory(spark, d))
+    return changes
