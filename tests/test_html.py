@@ -142,3 +142,40 @@ def test_readers_agree_on_any_text(text):
 def test_readers_agree_on_real_pages(spark, folder):
     for row in spark.read.parquet(f"{folder}/pages.parquet").select("html").collect():
         same_tree(row.html)
+
+
+def test_sections_of_a_page_with_very_many_headings(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from listprep.operators import wiki
+
+    parts = "".join(f"<h{2 + i % 3}>Title {i}</h{2 + i % 3}><p>Text of section {i} here</p>" for i in range(2000))
+    html = f'<html><head><title>t</title></head><body><main class="page__main">{parts}</main></body></html>'
+    df = wiki.with_main(H.parse_html(spark.createDataFrame([(1, html)], "id int, html string")))
+    pages = df.withColumn("infobox", wiki.infobox()).select(F.posexplode(wiki.sections()).alias("pos", "s"))
+    start = time.perf_counter()
+    got = pages.orderBy("pos").collect()
+    assert time.perf_counter() - start < 60
+    assert [r.s.title for r in got] == [f"Title {i}" for i in range(2000)]
+    assert all(f"Text of section {r.pos} here" in r.s.content for r in got)
+
+
+def test_limits_of_page_parts(spark):
+    from listprep.operators import wiki
+
+    refs = "".join(f'<li><span class="reference-text">Reference {i}</span></li>' for i in range(14))
+    html = (
+        '<html><body><main class="page__main">' + "".join(f"<p>A paragraph with number {i}</p>" for i in range(20))
+        + f'<h2>References</h2><div class="mw-references-wrap"><ol>{refs}</ol></div></main></body></html>'
+    )
+    df = wiki.with_main(H.parse_html(spark.createDataFrame([(1, html)], "id int, html string"), keep_html=True))
+    df = df.withColumn("infobox", wiki.infobox())
+    full = df.select(wiki.main_text().alias("m"), wiki.sections().alias("s"), wiki.snippet().alias("t")).first()
+    some = df.select(
+        wiki.main_text(wiki.PARAGRAPHS).alias("m"), wiki.sections(wiki.REFERENCES).alias("s"), wiki.snippet(length=50).alias("t")
+    ).first()
+    assert (len(full.m.split("\n")), len(some.m.split("\n"))) == (20, 15)
+    assert (len(full.s[0].content.split("\n")), len(some.s[0].content.split("\n"))) == (14, 10)
+    assert len(some.t) == 50 < len(full.t)
