@@ -35,7 +35,8 @@ DOM_DDL = (
     "tight:binary,raw:binary>"
 )
 
-# Fixed values of the HTML standard: elements without content, and elements whose text is not page text.
+# Elements read without content (those of the HTML standard and older ones that browsers also treat so),
+# and elements whose text is not page text.
 VOID = frozenset(
     "area base basefont bgsound br col command embed frame hr image img input isindex keygen link "
     "menuitem meta nextid param source spacer track wbr".split()

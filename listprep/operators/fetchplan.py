@@ -20,9 +20,8 @@ def maven_plan(artifacts: DataFrame, base: str = MAVEN_BASE) -> DataFrame:
     suffixes = F.explode(F.lit(list(urls.ARTIFACT_SUFFIXES))).alias("suffix")
     files = artifacts.select(g, a, v.alias("version"), suffixes).select(
         "group_id", "artifact_id", "version", "suffix",
-        F.concat(
-            urls.artifact_folder(g, a, F.col("version")), F.lit("/"), a, F.lit("-"),
-            text.safe_path(F.col("version")), F.col("suffix"),
+        F.concat_ws(
+            "/", urls.artifact_folder(g, a, F.col("version")), urls.artifact_file(a, F.col("version"), F.col("suffix"))
         ).alias("_rel"),
     )
     metadata = artifacts.select(g, a).distinct().select(

@@ -116,6 +116,7 @@ def pending_keys(spark, d):
     return membership.without_known(parts, done, ["p_partkey"])
 
 
+# The rejected characters in the naming schemes, as in ``functions.text``, for the checking engine.
 def sql_safe_title(t, i):
     blank = f"{sql_strip(t)} = ''"
     name = f"regexp_replace({t}, '[''\"!@#$%^&*()+=\\[\\]{{}};:,.<>?/\\\\|`~]', '_', 'g')"
