@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from listprep.llm.registry import documents, key, query, stored, whole, words
+from listprep.llm.registry import documents, key, narrow, query, stored, whole, words
 
 # Rule: margin in thousandths (word length: tenths of a character) above the median and its spread.
 MARGINS = {"symbols": 40, "lines": 500, "phrases": 300, "capitals": 200, "length": 30}
@@ -154,7 +154,9 @@ def judge(docs: DataFrame, enough: int = ENOUGH) -> DataFrame:
     Null and empty texts have no words and fail the base; null languages and sources are groups of their own;
     equal rows get equal verdicts; an empty table gives no rows; other columns are ignored."""
     m = stored(shares(measured(docs)), "quality-measures")
+    # one row per language and source; stored, so that a hot source can be split where it is too large to look up
     limits = thresholds(m, enough).withColumnsRenamed({"lang": "_lang", "source": "_source"})
+    limits = narrow(stored(limits, "quality-fences"))
     above = F.lit(False)
     for rule in MARGINS:
         above = above | (F.col(rule) > F.col(f"{rule}_fence"))
