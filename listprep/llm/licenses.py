@@ -77,10 +77,9 @@ def votes(texts: DataFrame, grams: DataFrame) -> DataFrame:
     """Per text and template the diagonals with their hits; equal rows of the table vote once.
 
     ``excerpt`` holds the words from the pair on, as many as the template has left, to verify spans later."""
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1))
-    )
-    rolled = texts.filter(F.size("w") >= 2).select("doc_id", "body", "w", F.posexplode(pairs).alias("pos", "gram"))
+    # no filter on the number of words before: it would make the words a second time
+    pairs = F.transform("w", lambda w, i: F.xxhash64(w, F.get("w", i + 1)))
+    rolled = texts.select("doc_id", "body", "w", F.posexplode(pairs).alias("pos", "gram"))
     hits = rolled.join(F.broadcast(grams), "gram").select(
         "doc_id", "body", "template", "at", "length", "pos", F.slice("w", F.col("pos") + 1, 2).alias("pair")
     )
