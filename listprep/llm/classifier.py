@@ -28,6 +28,8 @@ FEATURES = 1 << 16
 LEAST_DOCS = 3
 FOLDS = 5
 ACCEPT = 0.3
+# Bytes of text scored at once: a text has several n-grams for each word.
+BATCH_BYTES = 1 << 20
 
 _WORD, _DIGIT, _MARK, _GAP = range(4)
 _KIND = np.full(256, _MARK, np.uint8)
@@ -221,6 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
         m = train([g.view(np.uint64) for g in rows_["grams"]], rows_["label"].to_numpy(), flat.mixed(ids) % np.uint64(5) == 0)
         head = pd.DataFrame({"gram": [0, 1, 2], "ratio": [0.0] * 3, "weight": [m.bias, m.slope, m.offset], "head": [True] * 3})
         body = pd.DataFrame({"gram": m.grams.view(np.int64), "ratio": m.ratios, "weight": m.weights, "head": False})
+        flat.release()
         return pd.concat([head, body])
 
     found = shipped(own).mapInArrow(sets, "doc_id long, label int, grams array<long>")
@@ -244,7 +247,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), na
 
     def run(batches):
         table = shared.value.lookup()
-        for batch in flat.pieces(batches, "_text"):
+        for batch in flat.pieces(batches, "_text", BATCH_BYTES):
             p = shared.value.probability(shared.value.margins(batch.column("_text"), table))
             kept = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(p)], names=[*batch.schema.names[:-1], name])

@@ -25,7 +25,7 @@ STATE = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
 }
 
 # Rows of one slice of a group while bytes are compared.
