@@ -3,7 +3,8 @@
 Words become symbols: insult, threat, target, negation, report, other, end of a clause. Small transducers read the
 symbols of one clause and say, at every insult or threat, whether it is negated, aimed at somebody, reported speech, or
 one of several; their composition is one machine whose output is the context of each hit. A hit weighs its lexical
-weight times the weight of its context, a clause the sum of its hits, a document a logistic function of its clauses.
+weight times the weight of its context, a clause the sum of its hits, a document a logistic function of its clauses. A threat
+that no target precedes stays open until one follows in its clause.
 
 Lexical weights come from labelled rows: whole words and word beginnings that are found nearly only in toxic texts, next
 to a short fixed list. Words are found in whole byte arrays; only clauses with a hit are walked through.
@@ -60,6 +61,8 @@ AIMED = Transducer(2, lambda s, x: 0 if x == END else 1 if x == TARGET else s, l
 REPORTED = Transducer(2, lambda s, x: 0 if x == END else 1 if x == REPORT else s, lambda s: s)
 PILED = Transducer(2, lambda s, x: 0 if x == END else 1 if x in HITS else s, lambda s: s)
 GRAMMAR = (NEGATED, AIMED, REPORTED, PILED)
+# The bit of a context that says "aimed".
+AIM = 1 << GRAMMAR.index(AIMED)
 # Weight of a hit that is negated, aimed, reported, one of several.
 FACTORS = (0.3, 1.5, 0.5, 1.2)
 
@@ -158,22 +161,26 @@ def clauses(texts: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray,
     symbol[weight[mine] > 0] = INSULT
     value = np.where(symbol == THREAT, FIXED_WEIGHT, weight[mine])
     found_text, found_score, found_context = [], [], []
-    state, last = 0, None
+    state, last, waiting = 0, None, []
     for text, clause, x, v in zip(
         words.text[mine].tolist(), words.clause[mine].tolist(), symbol.tolist(), value.tolist(), strict=True
     ):
         if clause != last:
-            state, last = int(MOVES[state, END]), clause
+            state, last, waiting = int(MOVES[state, END]), clause, []
             found_text.append(text)
             found_score.append(0.0)
             found_context.append([0] * len(GRAMMAR))
+        counted = []
         if x in HITS:
             context = int(CONTEXT[state])
-            # a threat counts only where it is aimed at somebody
-            if x == INSULT or context >> 1 & 1:
-                found_score[-1] += v * CONTEXT_WEIGHT[context]
-                for i in range(len(GRAMMAR)):
-                    found_context[-1][i] += context >> i & 1
+            # a threat counts only where it is aimed at somebody, named before it or after it
+            (counted if x == INSULT or context & AIM else waiting).append((v, context))
+        elif x == TARGET and waiting:
+            counted, waiting = [(w, context | AIM) for w, context in waiting], []
+        for w, context in counted:
+            found_score[-1] += w * CONTEXT_WEIGHT[context]
+            for i in range(len(GRAMMAR)):
+                found_context[-1][i] += context >> i & 1
         state = int(MOVES[state, x])
     return np.array(found_text, np.int64), np.array(found_score), np.array(found_context).reshape(-1, len(GRAMMAR))
 

@@ -28,6 +28,24 @@ def test_threats_need_a_target():
     assert clause_scores("you will burn")[0] == 3.0 * 1.5
 
 
+def test_a_target_may_follow_its_threat():
+    full = 3.0 * 1.5
+    assert clause_scores("I will kill you", "somebody should hurt them", "you will burn") == [full] * 3
+    assert np.allclose(clause_scores("I will not kill you", "you will not burn"), full * 0.3)
+    assert np.allclose(clause_scores("somebody said kill them", "somebody said you burn"), full * 0.5)
+    assert np.allclose(clause_scores("somebody said never hurt them"), full * 0.3 * 0.5)
+    assert np.allclose(clause_scores("kill and burn you"), full + full * 1.2)
+    assert clause_scores("kill you and them") == [full]
+    assert clause_scores("burn the paper. You may go") == [0.0]
+    assert clause_scores("burn the paper", "you may go") == [0.0]
+    assert clause_scores("burn the paper. You burn") == [0.0, full]
+
+
+def test_a_threat_before_its_target_counts_as_one_after_it():
+    got = t.features(pa.array(["I will kill you", "you will burn", "burn the paper"]), EMPTY)
+    assert np.allclose(got[0], got[1]) and got[0].any() and not got[2].any()
+
+
 def test_composition_equals_running_all_parts():
     rng = np.random.default_rng(2)
     states, state = [0] * len(t.GRAMMAR), 0
