@@ -14,6 +14,7 @@ MODULES = (
     "bpe",
     "quality",
     "search",
+    "repair",
 )
 
 

@@ -56,7 +56,7 @@ def shipped(df: DataFrame) -> DataFrame:
         package = Path(__file__).resolve().parent.parent
         archive = io.BytesIO()
         with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-            for path in (package / "__init__.py", package / "session.py", *sorted((package / "llm").glob("*.py"))):
+            for path in sorted(package.rglob("*.py")):
                 z.writestr(f"{package.name}/{path.relative_to(package)}", path.read_bytes())
         target = f"{work_dir(spark, package.name)}.zip"
         place = context._jvm.org.apache.hadoop.fs.Path(target)
