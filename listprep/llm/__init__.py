@@ -13,6 +13,7 @@ MODULES = (
     "secrets",
     "bpe",
     "quality",
+    "fingerprints",
     "search",
     "repair",
 )
