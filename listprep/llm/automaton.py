@@ -3,6 +3,7 @@ vectorised scan of a batch."""
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -239,13 +240,38 @@ def scan(a: Automaton, data: np.ndarray, lane: int = LANE) -> np.ndarray:
     return hit
 
 
-def longest(a: Automaton, data: bytes, start: int, end: int) -> int:
-    """End of the longest match of an anchored automaton at ``start``, or -1."""
-    state, found = 0, -1
+class Barren:
+    """Places of a stretch, per state, from which an automaton accepts nothing more up to the stretch's end."""
+
+    def __init__(self, low: int, high: int):
+        self.low, self.size = low, high - low
+        self.states: dict[int, bytearray] = {}
+
+    def holds(self, state: int, place: int) -> bool:
+        marks = self.states.get(state)
+        return marks is not None and marks[place - self.low] == 1
+
+    def add(self, path, start: int) -> None:
+        for place, state in enumerate(path, start - self.low):
+            if state not in self.states:
+                self.states[state] = bytearray(self.size)
+            self.states[state][place] = 1
+
+
+def longest(a: Automaton, data: bytes, start: int, end: int, barren: Barren | None = None) -> int:
+    """End of the longest match of an anchored automaton at ``start``, or -1. ``barren`` keeps what walks up to the same
+    ``end`` found out."""
+    state, found, path = 0, -1, array("L")
     for i in range(start, end):
         state = a.moves[state * a.width + a.byte_class[data[i]]]
-        if state == a.dead:
+        if state == a.dead or (barren is not None and barren.holds(int(state), i)):
             break
         if a.accepts[state]:
             found = i + 1
+            if path:
+                del path[:]
+        elif barren is not None:
+            path.append(int(state))
+    if barren is not None:
+        barren.add(path, found if found > start else start)
     return found

@@ -93,5 +93,13 @@ def key(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
 
 
+def unused(name: str, *taken: str) -> str:
+    """The name, with as many underscores as make it none of those taken."""
+    known = {t.lower() for t in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listprep.llm import automaton, flat
-from listprep.llm.registry import documents, query, shipped
+from listprep.llm.registry import documents, query, shipped, unused
 
 
 @dataclass(frozen=True)
@@ -69,6 +69,7 @@ def rule_spans(rule: Rule, data: bytes, places: list[int]) -> list[tuple[int, in
     """Spans of a rule in stretches around the bytes at which it accepts, from the left, without overlap."""
     full, prefix, begins, inside = single(rule)
     found, done = [], 0
+    # a place and state from which no match ends is met once, so the time is linear in the stretch
     for place in places:
         if place < done:
             continue
@@ -78,9 +79,9 @@ def rule_spans(rule: Rule, data: bytes, places: list[int]) -> list[tuple[int, in
         high = place + 1
         while high < len(data) and inside[data[high]]:
             high += 1
-        at = low
+        at, barren = low, automaton.Barren(low, high)
         while at < high:
-            end = automaton.longest(full, data, at, high) if begins[data[at]] else -1
+            end = automaton.longest(full, data, at, high, barren) if begins[data[at]] else -1
             if end < 0:
                 at += 1
                 continue
@@ -115,13 +116,14 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), rules: tuple[Rule
     """The columns ``keep`` with ``found``: an array of (kind, start, end) in code points.
 
     Null and empty texts have none; repeated rows give repeated results; an empty table gives no rows."""
-    own = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    text = unused("_text", *keep)
+    own = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias(text))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        for batch in flat.pieces(batches, "_text"):
-            texts = [(t or "").encode() for t in batch.column("_text").to_pylist()]
+        for batch in flat.pieces(batches, text):
+            texts = [(t or "").encode() for t in batch.column(text).to_pylist()]
             found = [
                 [{"kind": rules[r].kind, "start": a, "end": b} for r, a, b in spans] for spans in scan_batch(texts, rules)
             ]
