@@ -2,8 +2,8 @@
 
 Shares (symbols, repeated lines, repeated phrases, capitals) and word length are measured per document. Fixed-grid
 histograms per language and source are the quantile sketches: a bucket is a whole number of thousandths, so two
-sketches merge by adding counts, in any order, with the same result. A source with few documents uses the merged
-sketch of its language, a language with few documents that of all. A document fails a rule where its value lies
+sketches merge by adding counts, in any order, with the same result. The fences of a source with few documents lean on
+the merged sketch of its language, those of a language with few documents on that of all. A document fails a rule where its value lies
 above the fence of its own sketch: median plus a multiple of the distance to the lower quartile, plus a margin.
 """
 
@@ -17,8 +17,8 @@ from listprep.llm.registry import documents, key, narrow, query, stored, whole,
 # Rule: margin in thousandths (word length: tenths of a character) above the median and its spread.
 MARGINS = {"symbols": 40, "lines": 500, "phrases": 300, "capitals": 200, "length": 30}
 SPREAD = 6
-# Documents from which on a sketch stands for itself.
-ENOUGH = 50
+# Documents that a coarser group's sketch lends to each finer one.
+PRIOR = 50
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -88,8 +88,8 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def shares(m: DataFrame) -> DataFrame:
-    """With one column per rule: whole thousandths, word length in tenths, nothing above 1000."""
-    part = lambda a, b, n=1000: F.least(F.lit(1000), F.expr(f"({n} * {a}) div greatest({b}, 1)")).cast("int")
+    """With one column per rule: whole thousandths, word length in tenths of a character; the grid has no end."""
+    part = lambda a, b, n=1000: F.expr(f"({n} * {a}) div greatest({b}, 1)")
     return m.withColumns(
         {
             "symbols": part("n_symbols", "word_chars"),
@@ -129,25 +129,33 @@ def fences(sketch: DataFrame, *by: str) -> DataFrame:
     return rules.groupBy(*by).agg(F.max("all").alias("docs"), *pick)
 
 
-def thresholds(m: DataFrame, enough: int = ENOUGH) -> DataFrame:
-    """One row per (lang, source) with the fences that hold for it."""
-    fine = sketches(m)
-    by_source = fences(fine, "lang", "source")
-    by_lang = fences(merged(fine, "lang"), "lang")
-    by_all = fences(merged(fine.withColumn("lang", F.substring("lang", 1, 0)), "lang"), "lang")
-    names = [f"{r}_fence" for r in MARGINS]
-    own = by_source.withColumn("level", F.when(F.col("docs") >= enough, F.lit("source")))
-    lang = by_lang.select(
-        F.col("lang").alias("_lang"), (F.col("docs") >= enough).alias("_many"), *[F.col(c).alias(f"_l_{c}") for c in names]
-    )
-    total = by_all.select(F.col("lang").alias("_none"), *[F.col(c).alias(f"_a_{c}") for c in names])
-    full = own.join(lang, own.lang == lang._lang, "left")
-    full = full.join(total, F.substring(full.lang, 1, 0) == total._none, "left")
-    pick = lambda c: F.when(F.col("level").isNotNull(), F.col(c)).when(F.col("_many"), F.col(f"_l_{c}")).otherwise(F.col(f"_a_{c}"))  # noqa: E731, E501
-    return full.select("lang", "source", *[pick(c).alias(c) for c in names])
+def lent(sketch: DataFrame, documents: int, *by: str) -> DataFrame:
+    """Sketches cut down to so many documents at equal ranks: at most as many rows per group and rule."""
+    group = Window.partitionBy(*by, "rule")
+    ranked = sketch.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("all", F.sum("n").over(group))
+    rank = lambda upto: F.expr(f"(2 * {documents} * ({upto}) + all) div (2 * all)")
+    return ranked.select(*by, "rule", "bucket", (rank("upto") - rank("upto - n")).alias("n")).filter("n > 0")
+
+
+def leaning(sketch: DataFrame, wide: DataFrame, documents: int, on: str, *by: str) -> DataFrame:
+    """Each group's sketch merged with what the coarser group that shares its column ``on`` lends it."""
+    groups = sketch.select(on, *[c for c in by if c != on]).distinct()
+    more = groups.join(lent(wide, documents, on), on).select(*by, "rule", "bucket", "n")
+    return merged(sketch.select(*by, "rule", "bucket", "n").unionByName(more), *by)
+
+
+def thresholds(m: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """One row per (lang, source) with the fences that hold for it: those of its own sketch together with ``prior``
+    documents of its language's; a language's sketch is its own with as many documents of all. So no verdict turns on
+    one document more or less."""
+    # a column that is the same in all rows stands for the group of all
+    fine = sketches(m).withColumn("every", F.substring("lang", 1, 0))
+    by_lang = fine.groupBy("every", "lang", "rule", "bucket").agg(F.sum("n").alias("n"))
+    by_lang = leaning(by_lang, merged(fine, "every"), prior, "every", "lang")
+    return fences(leaning(fine, by_lang, prior, "lang", "lang", "source"), "lang", "source").drop("docs")
 
 
-def judge(docs: DataFrame, enough: int = ENOUGH) -> DataFrame:
+def judge(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept, and the rule values.
 
@@ -155,7 +163,7 @@ def judge(docs: DataFrame, enough: int = ENOUGH) -> DataFrame:
     equal rows get equal verdicts; an empty table gives no rows; other columns are ignored."""
     m = stored(shares(measured(docs)), "quality-measures")
     # one row per language and source; stored, so that a hot source can be split where it is too large to look up
-    limits = thresholds(m, enough).withColumnsRenamed({"lang": "_lang", "source": "_source"})
+    limits = thresholds(m, prior).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     limits = narrow(stored(limits, "quality-fences"))
     above = F.lit(False)
     for rule in MARGINS:
