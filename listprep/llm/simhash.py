@@ -18,12 +18,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listprep.llm import flat
 from listprep.llm.graph import components
-from listprep.llm.registry import documents, narrow, query, shipped, stored
+from listprep.llm.registry import documents, narrow, query, shipped, stored, unused, whole
+from listprep.operators.joins import join_unique
 
 BITS = 64
 WIDTH = 4
@@ -68,12 +69,13 @@ def fingerprint(text: bytes, width: int = WIDTH, seed: int = SEED) -> int:
 
 def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: int = WIDTH, seed: int = SEED) -> DataFrame:
     """The columns ``keep`` with ``fp``, the 64 bits as a signed number."""
-    own = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    text = unused("_text", *keep)
+    own = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias(text))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
 
     def run(batches):
-        for batch in flat.pieces(batches, "_text"):
-            fps = [fingerprint((t or "").encode(), width, seed) for t in batch.column("_text").to_pylist()]
+        for batch in flat.pieces(batches, text):
+            fps = [fingerprint((t or "").encode(), width, seed) for t in batch.column(text).to_pylist()]
             kept = [batch.column(i) for i in range(len(keep))]
             values = pa.array(np.array(fps, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*kept, values], names=[*batch.schema.names[:-1], "fp"])
@@ -176,31 +178,45 @@ def links(distinct: DataFrame, radius: int = RADIUS, load: int = LOAD) -> DataFr
     return shipped(rows).groupBy("lead", "part", "part_bits").applyInArrow(find, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, load: int = LOAD, width: int = WIDTH) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable).
+def _body() -> Column:
+    """Tells apart the texts of one doc_id."""
+    return F.xxhash64(whole(F.col("text")))
+
+
+def near_duplicates(
+    docs: DataFrame, radius: int = RADIUS, load: int = LOAD, width: int = WIDTH, body: bool = False
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable), and
+    with ``body`` a hash of the text.
 
     Null texts are empty; texts without words have fingerprint zero and are linked like others; rows that repeat a
-    doc_id share its component's id; a null doc_id is the smallest of a component only where there is no other;
-    an empty table gives no rows; other columns are ignored."""
-    prints = stored(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), width=width), "simhash")
+    doc_id are told apart by their texts, each one in the component of its own fingerprint; a null doc_id is the smallest
+    of a component only where there is no other; an empty table gives no rows; other columns are ignored. A text of any
+    length is hashed shingle by shingle."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _body().alias("body"), "text")
+    prints = stored(fingerprints(own, ("doc_id", "body"), width=width), "simhash")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     found = stored(links(distinct.select("fp"), radius, load), "simhash-links")
     roots = components(found)
     owner = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
-    firsts = owner.groupBy(F.col("root").alias("_root")).agg(F.min("first_id").alias("component_id"))
-    named = owner.join(firsts, owner.root == firsts._root).select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(named, prints.fp == named._fp).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    # a component or a fingerprint may hold a large share of the rows, so neither join stays with one task for it
+    firsts = owner.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = stored(join_unique(owner, firsts, ["root"], "inner").select("fp", "component_id"), "simhash-named")
+    return join_unique(prints, named, ["fp"], "inner").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *(["body"] if body else [])
     )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's, with all their columns. The others are looked up."""
-    gone = near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = narrow(stored(gone.select(F.col("doc_id").alias("_gone")).distinct(), "simhash-gone"))
-    return docs.join(gone, docs.doc_id.cast("long").eqNullSafe(gone._gone), "left_anti")
+    """The rows of ``docs`` whose doc_id is their component's, with all their columns. The others are looked up by doc_id
+    and text: a doc_id may stand for several texts, of which one may stay and another go. Null and empty texts, ties and
+    repeated rows as in ``near_duplicates``."""
+    id_, body = unused("_gone", *docs.columns), unused("_body", *docs.columns)
+    gone = near_duplicates(docs, body=True).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = narrow(stored(gone.select(F.col("doc_id").alias(id_), F.col("body").alias(body)).distinct(), "simhash-gone"))
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (_body() == F.col(body)), "left_anti")
 
 
 @query("op4_simhash_near_dedup")
