@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listprep.llm import flat
-from listprep.llm.registry import documents, query, shipped
+from listprep.llm.registry import documents, query, shipped, unused
 
 # Symbols: what a code point is. A quote that begins 's 't 'm 'd has QUOTE2, one that begins 're 've 'll QUOTE3.
 LETTER, NUMBER, BLANK, SPACE, OTHER, QUOTE2, QUOTE3, END = range(8)
@@ -304,13 +304,14 @@ def _sums(encoder: Encoder, coded):
 def _mapped(docs: DataFrame, path: str, keep, schema: str, columns) -> DataFrame:
     with open(path, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
-    own = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    text = unused("_text", *keep)
+    own = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias(text))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
 
     def run(batches):
         encoder = Encoder(parse_ranks(ranks.value))
-        for batch in flat.pieces(batches, "_text"):
-            coded = encoder.encode([t or "" for t in batch.column("_text").to_pylist()])
+        for batch in flat.pieces(batches, text):
+            coded = encoder.encode([t or "" for t in batch.column(text).to_pylist()])
             kept = [batch.column(i) for i in range(len(keep))]
             made = columns(encoder, coded)
             names = [*batch.schema.names[: len(keep)], *[f.split()[0] for f in schema.split(", ")]]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listprep.llm import flat
-from listprep.llm.registry import documents, query, shipped
+from listprep.llm.registry import documents, query, shipped, unused
 
 # Labelled rows of the fit at most, and n-grams of the model at most (those in most documents).
 TRAIN_ROWS = 5000
@@ -205,12 +205,18 @@ def sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
     return own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
+def one_text(rows: DataFrame) -> DataFrame:
+    """One row for each doc_id: of several texts the one with the smallest hash, chosen before the shuffle."""
+    return rows.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS) -> Model:
     """Fits on at most ``rows`` labelled rows outside the held-out fold; every fifth of them, by hash, only shapes the
     curve. The sample is of fixed size, so joining it needs no shuffle of texts and one task can hold it."""
     few = sample(labels, label, rows).select(F.col("doc_id").alias("_id"), "label")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     own = own.join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text")
+    own = one_text(own)
 
     def sets(batches):
         for batch in flat.pieces(batches):
@@ -218,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["doc_id", "label", "grams"])
 
     def learn(_, rows_: pd.DataFrame) -> pd.DataFrame:
-        rows_ = rows_.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+        rows_ = rows_.sort_values("doc_id", kind="stable")
         ids = rows_["doc_id"].to_numpy().astype(np.uint64)
         m = train([g.view(np.uint64) for g in rows_["grams"]], rows_["label"].to_numpy(), flat.mixed(ids) % np.uint64(5) == 0)
         head = pd.DataFrame({"gram": [0, 1, 2], "ratio": [0.0] * 3, "weight": [m.bias, m.slope, m.offset], "head": [True] * 3})
@@ -241,14 +247,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
     """The columns ``keep`` with the probability of label 1 as ``name``. The model (at most ``FEATURES`` n-grams) goes
     to the executors once; texts are not shuffled. Null texts are scored as empty, by the bias alone."""
-    own = docs.select(*[docs[f"`{c}`"] for c in keep], docs["text"].cast("string").alias("_text"))
+    text = unused("_text", name, *keep)
+    own = docs.select(*[docs[f"`{c}`"] for c in keep], docs["text"].cast("string").alias(text))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         table = shared.value.lookup()
-        for batch in flat.pieces(batches, "_text", BATCH_BYTES):
-            p = shared.value.probability(shared.value.margins(batch.column("_text"), table))
+        for batch in flat.pieces(batches, text, BATCH_BYTES):
+            p = shared.value.probability(shared.value.margins(batch.column(text), table))
             kept = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(p)], names=[*batch.schema.names[:-1], name])
             flat.cut_powers()
@@ -274,7 +281,7 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", accept:
 
 def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", accept: float = ACCEPT) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with all their columns."""
-    name = "_quality_score"
+    name = unused("_quality_score", *docs.columns)
     scored = score(docs, fit(docs, labels, label), tuple(docs.columns), name)
     return scored.filter(F.col(name) >= accept).drop(name)
 

@@ -12,10 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listprep.llm.registry import BLANKS, documents, narrow, query, stored, whole
+from listprep.llm.registry import BLANKS, documents, narrow, query, stored, unused, whole
 from listprep.session import work_dir
 
 # State on disk; its native memory is bounded for each executor.
@@ -58,12 +59,11 @@ def _state_settings(spark: SparkSession) -> Iterator[None]:
 def signatures(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One slim row per document: digest and size of the normalised text, and where the text lies
     (file and row where the table is made of files, else null)."""
-    has_files = bool(docs.inputFiles())
-    place = (
-        (F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-        if has_files
-        else (F.lit(None).cast("string"), F.lit(None).cast("long"))
-    )
+    place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    try:
+        docs.select(*place).schema  # noqa: B018 - a union or a join has no places
+    except AnalysisException:
+        place = F.lit(None).cast("string"), F.lit(None).cast("long")
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         normalised(F.col("text")).alias("_text"),
@@ -196,11 +196,11 @@ def deduplicate(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Those that go are the smaller part, so they are looked
     up, and texts stay where they are if there are few."""
-    gone = deduplicate(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_sha"))
+    id_, sha = unused("_gone_id", *docs.columns), unused("_sha", *docs.columns)
+    gone = deduplicate(docs).filter("NOT kept").select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha))
     gone = narrow(stored(gone.distinct(), "exact-gone"))
-    own = docs.withColumn("_digest", sha256(normalised(F.col("text"))))
-    match = own.doc_id.cast("long").eqNullSafe(gone._gone_id) & (own._digest == gone._sha)
-    return own.join(gone, match, "left_anti").select(*[own[f"`{c}`"] for c in docs.columns])
+    match = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (sha256(normalised(F.col("text"))) == F.col(sha))
+    return docs.join(gone, match, "left_anti")
 
 
 @query(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from listprep.llm.registry import BLANKS, documents, key, query, stored, whole
+from listprep.llm.registry import BLANKS, documents, key, query, stored, unused, whole
 
 # Weights of the sources in order, repeating; the mix in percent of all words; most copies of a source.
 WEIGHTS = (5, 2, 1)
@@ -107,12 +107,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     is whole if at least half of it is inside the budget."""
     taken = mix(docs, **options).filter("size > 0")
     times = F.floor((F.col("taken") + F.floor(F.col("size") / 2)) / F.col("size")).cast("int")
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), times.alias("_times"))
-    taken = taken.groupBy("_id", "_size").agg(F.max("_times").alias("_times")).filter("_times > 0")
-    own = docs.withColumn("_words", n_words(F.col("text")))
-    picked = own.join(taken, own.doc_id.cast("long").eqNullSafe(taken._id) & (own._words == taken._size))
-    picked = picked.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return picked.select(*[F.col(f"`{c}`") for c in docs.columns])
+    id_, size, words, n = (unused(c, *docs.columns) for c in ("_id", "_size", "_words", "_times"))
+    taken = taken.groupBy(F.col("doc_id").alias(id_), F.col("size").alias(size)).agg(F.max(times).alias(n)).filter(F.col(n) > 0)
+    own = docs.withColumn(words, n_words(F.col("text")))
+    picked = own.join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.col(words) == F.col(size)))
+    copies = F.explode(F.sequence(F.lit(1), F.col(n))).alias(n)
+    return picked.select(*[F.col(f"`{c}`") for c in docs.columns], copies).drop(n)
 
 
 @query(

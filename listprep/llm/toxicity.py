@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listprep.llm import flat
-from listprep.llm.classifier import held_out, sample
-from listprep.llm.registry import documents, query, shipped
+from listprep.llm.classifier import held_out, one_text, sample
+from listprep.llm.registry import documents, query, shipped, unused
 
 # Labelled rows of the fit and entries of the learned lexicon, at most.
 TRAIN_ROWS = 20000
@@ -272,8 +272,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TR
     from four fifths of them, by hash, the weights from the rest; the sample is of fixed size, so texts stay put."""
     few = sample(labels, label, rows).select(F.col("doc_id").alias("_id"), "label")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    own = own.join(F.broadcast(few), F.col("doc_id") == F.col("_id")).dropDuplicates(["doc_id"])
-    own = own.select("label", "text", (F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(5)) == 0).alias("rest"))
+    own = own.join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text")
+    own = one_text(own).select("label", "text", (F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(5)) == 0).alias("rest"))
     lexicon = learned(own.filter(~F.col("rest")))
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     names = [f"f{i}" for i in range(6)]
@@ -291,13 +291,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TR
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
     """The columns ``keep`` with the probability of label 1 as ``name``."""
-    own = docs.select(*[docs[f"`{c}`"] for c in keep], docs["text"].cast("string").alias("_text"))
+    text = unused("_text", name, *keep)
+    own = docs.select(*[docs[f"`{c}`"] for c in keep], docs["text"].cast("string").alias(text))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in flat.pieces(batches, "_text"):
-            p = shared.value.probability(batch.column("_text"))
+        for batch in flat.pieces(batches, text):
+            p = shared.value.probability(batch.column(text))
             kept = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(p)], names=[*batch.schema.names[:-1], name])
             flat.cut_powers()
