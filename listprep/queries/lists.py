@@ -8,6 +8,8 @@ from listprep.functions import html as H
 from listprep.functions import urls
 from listprep.operators import enrich, extract, filters, membership, numbering, reconcile, search
 from listprep.queries.registry import SQL_WS, query, spread, sql_strip, table
+from listprep.session import work_dir
+from listprep.streaming import jobs
 
 BASE = "https://lists.example.org"
 
@@ -56,6 +58,26 @@ def links_append(spark, d):
     return membership.append_new(batch, existing, "link", ["page_id", "pos"]).select("link", "page_id", "label")
 
 
+@query(
+    "links_indexed",
+    f"""
+    with {SQL_LINKS}
+    select distinct '{BASE}' || href as link from links where not stored and href not in (select href from links where stored)
+    """,
+)
+def links_indexed(spark, d):
+    """The same links through a stored list with a key index: what is there already was stored without one; the rest
+    comes in three batches."""
+    target = work_dir(spark, "links-indexed")
+    links = raw_links(spark, d).select("stored", "page_id", F.concat(F.lit(BASE), "url").alias("url"))
+    links.filter("stored").select("page_id", "url").write.parquet(f"{target}/run=0/batch=0")
+    index = jobs.link_index(spark, target, bucket_keys=20_000)
+    for n in range(3):
+        batch = links.filter(~F.col("stored") & (F.col("page_id") % 3 == n)).select("page_id", "url")
+        jobs.append_batch(index, target, batch, "1", n, order=("page_id",))
+    return spark.read.parquet(target).filter("run = 1").select(F.col("url").alias("link"))
+
+
 @query(
     "list_stats",
     f"""

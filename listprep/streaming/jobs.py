@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from listprep.operators.membership import append_new, without_known
+from listprep.operators.keyindex import KeyIndex, unknown_rows
+from listprep.operators.membership import without_known
+from listprep.sinks import files
 from listprep.sinks.writers import folders, path_exists
 
 
@@ -36,21 +38,67 @@ def earlier(spark: SparkSession, target: str, schema, run: str, number: int) ->
     return rows.filter((F.col("run") != run) | (F.col("batch") < number)).select(*names)
 
 
+def link_index(spark: SparkSession, target: str, **options) -> KeyIndex:
+    """The key index of a stored list: a folder inside it that readers of the list pass over."""
+    return KeyIndex(spark, f"{target}/_keys", **options)
+
+
+def append_batch(
+    index: KeyIndex, target: str, batch: DataFrame, run: str, number: int, key: str = "url", order: Sequence[str] = ("pos",)
+) -> None:
+    """Appends the rows of batch ``number`` of a run whose key is not stored yet, the first row of each key.
+
+    The index's manifest says what is stored.  A batch it names as done was written whole and is left alone.  A batch
+    that was begun is named first: if its driver died after writing it, the next batch takes its keys in, so they are
+    not stored twice, whoever comes next.  A list that was stored without an index is taken in once."""
+    spark = batch.sparkSession
+    state = index.manifest()
+    if state["done"].get(run, -1) >= number:
+        return
+    name = F.col(key).cast("string").alias("key")
+
+    def take_in(path: str | None, found: DataFrame | None = None) -> None:
+        if found is None:
+            found = spark.read.schema(batch.select(key).schema).parquet(path)
+        found = found.select(name).filter("key IS NOT NULL").distinct()
+        index.add(state, found, found.count())
+
+    if state["version"] == 0 and path_exists(spark, target):
+        stored = earlier(spark, target, batch.select(key).schema, run, number)
+        take_in(None, stored)
+        state["done"] = {n.removeprefix("run="): 1 << 30 for n in folders(spark, target) if n.startswith("run=")}
+        state["done"][run] = number - 1
+    begun = state["pending"]
+    if begun and begun != [run, number]:
+        folder = f"{target}/run={begun[0]}/batch={begun[1]}"
+        if files.exists(spark, f"{folder}/_SUCCESS"):
+            take_in(folder)
+        state["done"][begun[0]] = begun[1]
+    state["pending"] = [run, number]
+    index.commit(state)
+    folder = f"{target}/run={run}/batch={number}"
+    batch = batch.persist()
+    try:
+        unknown_rows(batch, index, key, order).write.mode("overwrite").parquet(folder)
+    finally:
+        batch.unpersist()
+    take_in(folder)
+    state["done"][run], state["pending"] = number, None
+    index.commit(state)
+
+
 def append_links(
-    stream: DataFrame, target: str, checkpoint: str, key: str = "url", order: Sequence[str] = ("pos",)
+    stream: DataFrame, target: str, checkpoint: str, key: str = "url", order: Sequence[str] = ("pos",), **index_options
 ) -> StreamingQuery:
-    """Appends links not stored yet, the first row of each link in a batch.
+    """Appends links not stored yet, the first row of each link in a batch; rows without a link go.
 
-    A batch is compared with all rows of other runs and with the batches before it, so a replay repeats no link,
-    whatever its batches.  Each batch reads the stored keys (one column); for a list that grows without end use
-    ``unseen_links``.
-    """
+    A batch is compared with all that is stored, of this run and others, by the list's key index (see ``append_batch``),
+    so it costs its own size and not the list's, and a replay repeats no link, whatever its batches."""
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         run = run_name(spark, target, checkpoint)
-        known = earlier(spark, target, batch.select(key).schema, run, number)
-        append_new(batch, known, key, order).write.mode("overwrite").parquet(f"{target}/run={run}/batch={number}")
+        append_batch(link_index(spark, target, **index_options), target, batch, run, number, key, order)
 
     return (
         stream.writeStream.foreachBatch(sink)
