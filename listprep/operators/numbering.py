@@ -1,8 +1,10 @@
-"""Row numbers, pages and progress without a single-task window.
+"""Row numbers, pages and progress without a single-task window and without storing the rows.
 
-A global ``row_number`` would pull a table through one task, and a per-group one would pull a hot
-group through one task.  Instead rows are range partitioned and sorted, each row gets its place in
-its partition, and partition (or group-in-partition) counts give the offsets.
+A global ``row_number`` would pull a table through one task, and a per-group one would pull a hot group through one task.
+Instead the keys are cut in cells by a histogram of two levels: 256 equal parts between the smallest and the largest key
+of a group, and 256 parts between those of each such cell. A row's number is the count of all cells before its own plus
+its place inside the cell. Cells come from exact minima, maxima and counts, which do not depend on how the rows lie, so
+counts and rows may be computed apart, any part of them again after a loss, and building a frame runs nothing.
 """
 
 from __future__ import annotations
@@ -11,8 +13,69 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from listprep.session import checkpointed
+from pyspark.sql import types as T
+
+from listprep.operators.joins import join_unique
+
+# Cells of each level, and hexadecimal digits behind the common prefix that tell them apart.
+CELLS, DIGITS = 256, 13
+# Bytes of a text that are looked at.
+TEXT_BYTES = 400
+
+
+def _digits(key: Column, kind: T.DataType) -> tuple[Column | None, bool]:
+    """Hexadecimal digits that are in the order of the key, as far as they go, and whether keys may follow behind them."""
+    if isinstance(kind, T.StructType):
+        fields = []
+        for field in kind.fields:
+            made, more = _digits(key[field.name], field.dataType)
+            if made is not None:
+                fields.append(made)
+            if not more:
+                return (F.concat(*fields) if fields else None), False
+        return F.concat(*fields), True
+    if isinstance(kind, T.DateType):
+        key, kind = F.unix_date(key).cast("long"), T.LongType()
+    elif isinstance(kind, T.TimestampType):
+        key, kind = F.unix_micros(key), T.LongType()
+    elif isinstance(kind, T.BooleanType):
+        key, kind = key.cast("long"), T.LongType()
+    if isinstance(kind, T.IntegralType):
+        made, more = F.lpad(F.hex(key.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"), True
+    elif isinstance(kind, T.StringType):
+        made, more = F.hex(F.substring(key.cast("binary"), 1, TEXT_BYTES)), False
+    else:
+        return None, False
+    return F.when(key.isNull(), "0").otherwise(F.concat(F.lit("1"), made)), more
+
+
+def _code(df: DataFrame, keys: Sequence[str]) -> Column:
+    """One text per row in the order of the keys, nulls first; equal for keys it does not tell apart."""
+    parts = []
+    for key in keys:
+        made, more = _digits(F.col(key), df.schema[key].dataType)
+        if made is not None:
+            parts.append(made)
+        if not more:
+            break
+    return F.concat(*parts) if parts else F.lit("")
+
+
+def _number(code: Column, prefix: Column) -> Column:
+    """The digits behind a prefix as a whole number."""
+    return F.conv(F.rpad(F.substring(code, prefix + 1, F.lit(DIGITS)), DIGITS, "0"), 16, 10).cast("long")
+
+
+def _span(code: str) -> list[Column]:
+    """Aggregates of a cell: length of the common prefix of its keys, and where their numbers begin and how far they go."""
+    low, high = F.min(code), F.max(code)
+    same = F.filter(F.sequence(F.lit(0), F.length(low)), lambda n: F.substring(low, F.lit(1), n) == F.substring(high, F.lit(1), n))
+    prefix = F.size(same) - 1
+    return [prefix.alias("_prefix"), _number(low, prefix).alias("_low"), (_number(high, prefix) - _number(low, prefix) + 1).alias("_far")]
+
+
+def _cell() -> Column:
+    return F.call_function("div", (_number(F.col("_code"), F.col("_prefix")) - F.col("_low")) * CELLS, F.col("_far")).cast("int")
 
 
 def number_rows(
@@ -22,37 +85,55 @@ def number_rows(
     number: str = "rn",
     total: str | None = None,
 ) -> DataFrame:
-    """1-based row numbers by a unique ascending order, over the table or within groups.
+    """1-based row numbers by an ascending order (nulls first), over the table or within groups.
 
-    The sorted rows are checkpointed: counts and rows must come from the same partitioning, also
-    after executors were lost.
-    """
-    # keys as columns, so that sampling and sorting do not evaluate an expression per comparison
+    Rows that are equal in all keys get their numbers in any order.  The key columns are read four times, all others
+    once; a frame that is costly to make should be stored before.  Dates, times, whole numbers, booleans, texts and
+    structs of them make cells; rows that differ only in keys of other types, or behind the first text, share one."""
+    # keys as columns, so that sorting does not evaluate an expression per comparison
     made = {f"_k{i}": key for i, key in enumerate(order_by) if isinstance(key, Column)}
-    keys = [*group_by, *[f"_k{i}" if isinstance(key, Column) else key for i, key in enumerate(order_by)]]
-    placed = checkpointed(
-        df.withColumns(made)
-        .repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .drop(*made)
-    ).withColumn("_part", F.shiftright("_at", 33))
-    counts = placed.groupBy("_part", *group_by).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    # one row per partition (and group in it); without groups this is one row per partition
-    before = Window.partitionBy(*group_by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [f"_k{i}" if isinstance(key, Column) else key for i, key in enumerate(order_by)]
+    rows = df.withColumns(made)
+    # a null group is a group
+    rows = rows.withColumns({
+        "_code": _code(rows, keys),
+        "_group": F.array(*[F.coalesce(F.concat(F.lit("="), F.col(g).cast("string")), F.lit("")) for g in group_by]),
+    })
+    slim = rows.select("_group", "_code")
+
+    def placed(frame: DataFrame, side: DataFrame, on: list[str], bounded: bool) -> DataFrame:
+        """Rows with what a table of unique keys says; a hot key is split, a bounded side is sent to all."""
+        if not bounded:
+            return join_unique(frame, side, on, "inner")
+        return frame.join(F.broadcast(side), on).select(*frame.columns, *[c for c in side.columns if c not in on])
+
+    def celled(frame: DataFrame) -> DataFrame:
+        columns = frame.columns
+        if group_by:
+            frame = placed(frame, slim.groupBy("_group").agg(*_span("_code")), ["_group"], False)
+        else:
+            whole = slim.agg(F.struct(*_span("_code")).alias("_whole")).scalar()
+            frame = frame.withColumn("_whole", whole).select(*columns, "_whole.*")
+        frame = frame.select(*columns, _cell().alias("_rough"))
+        return frame
+
+    def numbered(frame: DataFrame) -> DataFrame:
+        columns = frame.columns
+        parts = celled(slim).groupBy("_group", "_rough").agg(*_span("_code"))
+        frame = placed(celled(frame), parts, ["_group", "_rough"], not group_by)
+        return frame.select(*columns, (F.col("_rough") * CELLS + _cell()).alias("_fine"))
+
+    # at most CELLS * CELLS rows, per group if there are groups
+    counts = numbered(slim).groupBy("_group", "_fine").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_group").orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     if total:
-        counts = counts.withColumn(total, F.sum("_n").over(Window.partitionBy(*group_by)))
-    side = counts.withColumnsRenamed({"_part": "_side_part", **{g: f"_side_{g}" for g in group_by}})
-    if not group_by:
-        side = F.broadcast(side)  # as many rows as there are partitions
-    same = F.col("_part") == F.col("_side_part")
-    for g in group_by:
-        same = same & F.col(g).eqNullSafe(F.col(f"_side_{g}"))
-    return (
-        placed.join(side, same)
-        .withColumn(number, F.col("_at") - F.col("_first") + F.col("_before") + 1)
-        .select(*df.columns, number, *([total] if total else []))
+        counts = counts.withColumn(total, F.sum("_n").over(Window.partitionBy("_group")))
+    inside = F.row_number().over(Window.partitionBy("_group", "_fine").orderBy(*keys))
+    own = numbered(rows).withColumn("_inside", inside)
+    found = placed(own, counts.drop("_n"), ["_group", "_fine"], not group_by)
+    return found.withColumn(number, F.col("_inside") + F.col("_before")).select(
+        *df.columns, number, *([total] if total else [])
     )
 
 

@@ -1,5 +1,7 @@
 """Operators on small inputs: properties, edge cases and brute force."""
 
+import datetime
+import decimal
 import random
 
 import pytest
@@ -144,9 +146,50 @@ def test_numbering_never_uses_one_task_for_all_rows(spark, capsys):
     df = spark.range(100).withColumnRenamed("id", "k")
     numbering.paginate(df, "k", 10).explain()
     plan = capsys.readouterr().out
-    single = [line for line in plan.splitlines() if "SinglePartition" in line]
-    # only the table of partition counts is brought together
-    assert len(single) <= 1 and "BroadcastHashJoin" in plan
+    lines = plan.splitlines()
+    # only aggregates are brought together: minima and maxima, and the counts of cells
+    assert all("Aggregate" in lines[i + 1] for i, line in enumerate(lines) if "SinglePartition" in line)
+    assert "BroadcastHashJoin" in plan
+
+
+def test_building_a_numbered_frame_runs_nothing(spark):
+    df = spark.range(1000).select((F.col("id") * 37 % 1009).alias("k"), (F.col("id") % 3).alias("g"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("numbering", "nothing")
+    frames = [numbering.number_rows(df, ["k"], total="n"), numbering.paginate(df, "k", 10), numbering.progress(df, "g", ["k"])]
+    assert not tracker.getJobIdsForGroup("numbering")
+    assert [f.count() for f in frames] == [1000] * 3
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+KINDS = {
+    "long": [None, None, -(1 << 63), -5, 0, 1, 2, 3, (1 << 63) - 1],
+    "int": [7, 7, 7, None, -2],
+    "string": [None, "", "a", "a\u0000", "a\u0000b", "ab", "https://x/1", "https://x/10", "https://x/2", "ü", "\U0001f600", "z" * 999, "z" * 998 + "a"],
+    "date": [None, datetime.date(1, 1, 1), datetime.date(1969, 12, 31), datetime.date(1970, 1, 1), datetime.date(9999, 12, 31)],
+    "boolean": [True, False, None, True],
+    "double": [1.5, -2.0, None, 7.0],
+    "decimal(10,2)": [decimal.Decimal("1.50"), decimal.Decimal("-3.00"), None],
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_numbers_for_keys_of_any_type(spark, kind):
+    values = [(v, i) for i, v in enumerate(KINDS[kind] * 3)]
+    random.Random(3).shuffle(values)
+    df = spark.createDataFrame(values, f"v {kind}, i long").repartition(5)
+    got = [(r.v, r.i) for r in numbering.number_rows(df, ["v", "i"]).orderBy("rn").collect()]
+    assert got == [(r.v, r.i) for r in df.orderBy("v", "i").collect()]
+
+
+def test_numbers_by_a_struct_and_in_one_crowded_place(spark):
+    """All keys but two lie close together: the second level divides them."""
+    far = spark.createDataFrame([(-(10**15),), (10**15,)], "k long")
+    df = far.union(spark.range(20_000)).select(F.struct(F.col("k"), F.lit("x").alias("t")).alias("v"))
+    got = numbering.number_rows(df, [F.col("v")])
+    assert got.filter("rn <> v.k + 2 and abs(v.k) < 1e15").isEmpty() and got.count() == 20_002
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "_fine" in plan
 
 
 # --- packages ---
