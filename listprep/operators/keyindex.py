@@ -151,9 +151,14 @@ def placed_keys(keys: DataFrame, buckets: int, blocks: int) -> DataFrame:
     return own.select("key", "hash", spot("bucket", buckets).alias("bucket"), spot("block", blocks).alias("block"))
 
 
+def probe(i: int, hash_: Column) -> Column:
+    """Place of a key's bit number ``i`` in its bitmap."""
+    return F.pmod(F.xxhash64(F.lit(i), hash_), F.lit(BLOCK_BITS))
+
+
 def probes(hash_: Column) -> Column:
-    """Places of a key's bits in its bitmap."""
-    return F.array(*[F.pmod(F.xxhash64(F.lit(i), hash_), F.lit(BLOCK_BITS)) for i in range(PROBES)])
+    """Places of all its bits."""
+    return F.array(*[probe(i, hash_) for i in range(PROBES)])
 
 
 def bit_at(bits: Column, place: Column) -> Column:

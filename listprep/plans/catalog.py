@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listprep.functions import html as H
 from listprep.operators import extract, membership, numbering, reconcile, wiki
+from listprep.operators.late import maybe_in
 from listprep.sinks import writers
 
 
@@ -45,12 +46,13 @@ def pending_records(links: DataFrame, outputs: DataFrame, pages: DataFrame) -> D
     """Records of the listed pages that have no good output yet.
 
     links: list, pos, title, url.  outputs: list, safe_name, has_error.  pages: url, html.
-    Only the pages of pending links are parsed."""
-    pending = membership.pending_or_failed(links, outputs)
-    todo = pages.join(pending.select("list", "pos", "title", "url").withColumnRenamed("title", "list_title"), "url")
-    parsed = H.parse_html(todo.select("list", "pos", "list_title", "url", "html"), keep_html=True)
-    records = wiki.page_records(parsed, "list", "pos", "list_title", "url")
-    return records.withColumn("title", F.coalesce("list_title", "title")).drop("list_title")
+    Only the pages of pending links (and few others) are parsed, where they were read; the records made of them meet
+    the links by their address."""
+    pending = membership.pending_or_failed(links, outputs).select("list", "pos", F.col("title").alias("list_title"), "url")
+    todo = pages.select("url", "html").filter(maybe_in(F.col("url"), pending, "url"))
+    records = wiki.page_records(H.parse_html(todo, keep_html=True), "url")
+    both = records.join(pending, "url").withColumn("title", F.coalesce("list_title", "title"))
+    return both.select("list", "pos", *records.columns)
 
 
 def catalog_report(links: DataFrame, outputs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from listprep.functions import html as H
 from listprep.functions.text import clean_strings
 from listprep.operators import enrich, extract, membership
+from listprep.operators.late import maybe_in
 
 ORG_COLUMNS = ("legal_name", "headcount", "phone", "email", "revenue")
 
@@ -29,11 +30,14 @@ def contract_rows(
 ) -> DataFrame:
     """One cleaned row per contract page (key, html) that is not among the stored rows.
 
-    Known pages are dropped before parsing, so only new ones reach the Python stage."""
+    New pages are found by their keys, and all but few others end at the scan; page texts are parsed where they were
+    read, and only the rows made of them meet the stored keys."""
     pending = pages.select(key, "html")
     if stored is not None:
-        pending = membership.without_known(pending, stored, [key])
-    return clean_strings(extract.extract_rules(H.parse_html(pending), key, rules=rules))
+        fresh = membership.without_known(pages.select(key), stored, [key])
+        pending = pending.filter(F.col(key).isNull() | maybe_in(F.col(key), fresh, key))
+    rows = clean_strings(extract.extract_rules(H.parse_html(pending), key, rules=rules))
+    return rows if stored is None else membership.without_known(rows, stored, [key])
 
 
 def found_organisations(pages: DataFrame, inn: str = "inn") -> DataFrame:
