@@ -321,22 +321,22 @@ def snapshot_diff(spark, d):
 
 SQL_MAVEN = f"""
 {SQL_ARTIFACTS},
-plan as (
-  select group_id, artifact_id, latest_version as version, s as suffix,
-    replace(group_id, '.', '/') || '/' || artifact_id || '/' || latest_version || '/' || artifact_id || '-' || latest_version || s as rel
-  from artifacts, (select unnest(['.jar', '.pom', '-sources.jar', '-javadoc.jar', '.module']) as s)
+plan as materialized (
+  select group_id, artifact_id, latest_version as version, unnest(['.jar', '.pom', '-sources.jar', '-javadoc.jar', '.module']) as suffix,
+    replace(group_id, '.', '/') || '/' || artifact_id || '/' || latest_version || '/' || artifact_id || '-' || latest_version || suffix as rel
+  from artifacts
   union all
   select distinct group_id, artifact_id, null, 'metadata', replace(group_id, '.', '/') || '/' || artifact_id || '/maven-metadata.xml'
-  from artifacts),
-remote as (
-  select 'maven2/' || rel as path, cast(length(rel) * 100 as bigint) as size from plan
-  where suffix in ('.jar', '.pom', 'metadata') or group_id = 'org.promo'),
-local_ as (
-  select 'maven2/' || rel as path,
-    cast(case suffix when '.pom' then length(rel) * 50 when '-javadoc.jar' then length(rel) * 100 + 1 else length(rel) * 100 end as bigint) as size
-  from plan where suffix <> 'metadata' and group_id in ('org.promo', 'org.large') or (suffix = '.jar' and group_id = 'org.medium'))
+  from artifacts)
 """
 
+# what the index and the inventory hold of a plan row, without joining the plan with itself
+SQL_REMOTE = """
+  case when suffix in ('.jar', '.pom', 'metadata') or group_id = 'org.promo' then cast(length(rel) * 100 as bigint) end"""
+SQL_LOCAL = """
+  case when (suffix <> 'metadata' and group_id in ('org.promo', 'org.large')) or (suffix = '.jar' and group_id = 'org.medium')
+    then cast(case suffix when '.pom' then length(rel) * 50 when '-javadoc.jar' then length(rel) * 100 + 1 else length(rel) * 100 end as bigint) end"""
+
 
 @query(
     "maven_plan",
@@ -363,7 +363,7 @@ def local_inventory(spark, d):
 
 @query(
     "fetch_plan",
-    f"with {SQL_MAVEN} select group_id, artifact_id, version, suffix, 'maven2/' || rel as path from plan where 'maven2/' || rel in (select path from remote)",
+    f"with {SQL_MAVEN} select group_id, artifact_id, version, suffix, 'maven2/' || rel as path from plan where ({SQL_REMOTE}) is not null",
 )
 def fetch_plan(spark, d):
     return fetchplan.present_in_index(maven_plan(spark, d), remote_index(spark, d)).drop("url")
@@ -372,9 +372,7 @@ def fetch_plan(spark, d):
 @query(
     "fetch_state",
     f"""
-    with {SQL_MAVEN}, j as (
-      select p.path, r.size as remote_size, l.size as local_size
-      from (select 'maven2/' || rel as path from plan) p left join remote r on r.path = p.path left join local_ l on l.path = p.path)
+    with {SQL_MAVEN}, j as (select 'maven2/' || rel as path, {SQL_REMOTE} as remote_size, {SQL_LOCAL} as local_size from plan)
     select *, case when remote_size is null then 'missing' when local_size is null then 'full' when local_size = remote_size then 'complete'
         when local_size < remote_size then 'resume' else 'oversize' end as state,
       case when remote_size is null then null when local_size is null or local_size > remote_size then 0
