@@ -17,7 +17,10 @@ WS_NOT_SPACE = rf"[[^ -~]&&[{_ODD}]]"
 CONTROL = r"[\x00-\x1F\x7F-\x9F]"
 # Characters not allowed in file names, per naming scheme.
 PATH_FORBIDDEN = ':*?"<>|'
-TITLE_FORBIDDEN = r'[\\/*?:"<>|]'
+TITLE_SIGNS = r'\/*?:"<>|'
+TITLE_FORBIDDEN = rf"[\{TITLE_SIGNS}]"
+# What a name may not hold; plain letters first, which most characters are.
+KEPT = r"[^a-zA-Z0-9_\p{L}\p{N}-]"
 PUNCTUATION = r"""['"!@#$%^&*()+=\[\]{};:,.<>?/\\|`~]"""
 
 
@@ -63,11 +66,9 @@ def safe_file(c: Column, max_len: int | None = None, default: str | None = None)
 
 def safe_title(title: Column, index: Column) -> Column:
     """Current naming scheme of page records: words joined by ``_``, at most 100 characters."""
-    name = F.regexp_replace(title, PUNCTUATION, "_")
-    name = F.regexp_replace(name, f"{WS}+", "_")
-    name = F.regexp_replace(name, r"_+", "_")
-    name = F.regexp_replace(name, r"^_+|_+$", "")
-    name = F.regexp_replace(name, r"[^\p{L}\p{N}_-]", "")
+    # signs, blanks and ``_`` in a row are one ``_`` in the end, whichever rule comes first
+    name = F.btrim(F.regexp_replace(title, f"[_{PUNCTUATION}{WS}]+", "_"), F.lit("_"))
+    name = F.regexp_replace(name, KEPT, "")
     page = F.concat(F.lit("page_"), index.cast("string"))
     filled = let(
         name,
@@ -75,19 +76,19 @@ def safe_title(title: Column, index: Column) -> Column:
         .when(F.length(n) < 3, F.concat(page, F.lit("_"), n))
         .otherwise(F.left(n, F.lit(100))),
     )
-    blank = strip_ws(F.coalesce(title, F.lit(""))) == ""
+    blank = ~F.coalesce(title.rlike(rf"[^ {_ODD}]"), F.lit(False))
     return F.when(blank, F.concat(page, F.lit("_untitled"))).otherwise(filled)
 
 
 def old_title(title: Column) -> Column:
     """Earlier scheme: letters, digits, space, ``-`` and ``_`` kept; then spaces to ``_``."""
-    kept = F.regexp_replace(F.regexp_replace(title, r"[^\p{L}\p{N} _-]", ""), r" +\z", "")
+    kept = F.rtrim(F.regexp_replace(title, r"[^a-zA-Z0-9 _\p{L}\p{N}-]", ""))
     return F.left(F.replace(kept, F.lit(" "), F.lit("_")), F.lit(100))
 
 
 def basic_title(title: Column) -> Column:
     """Plain scheme: only rejected characters and spaces replaced."""
-    return F.left(F.replace(F.regexp_replace(title, TITLE_FORBIDDEN, "_"), F.lit(" "), F.lit("_")), F.lit(100))
+    return F.left(F.translate(title, TITLE_SIGNS + " ", "_" * (len(TITLE_SIGNS) + 1)), F.lit(100))
 
 
 def split_camel(c: Column) -> Column:

@@ -1,7 +1,7 @@
 """A stored index of the keys of a list that grows, so that a batch costs its own size and not that of the list.
 
 Keys lie in immutable segments. A segment is cut in buckets by the hash of the key, as many as keep a bucket at about
-``bucket_keys`` keys, and each bucket has bitmaps (Bloom filters, one bit field per ``BLOCK_BITS`` bits) beside its keys.
+``bucket_keys`` keys, and each bucket has bitmaps (Bloom filters) beside its keys.
 To look up a batch, only the bitmaps of the buckets that the batch's hashes fall into are read, and only where they
 say "maybe" the keys themselves; those are compared whole, so the answer is exact. A batch's new keys become a small
 segment; ``fan`` segments of one level are merged to one of the next, so there are few segments and a key is rewritten
@@ -16,18 +16,14 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listprep.functions.bitmaps import BLOCK_KEYS, bit_at, probes
 from listprep.operators.joins import join_unique
 from listprep.operators.membership import first_rows
 from listprep.sinks import files
 
-# Bits of one bitmap (fixed by Spark's bitmap aggregation), bits set per key, and keys per bitmap for one in a hundred.
-BLOCK_BITS = 32768
-PROBES = 5
-BLOCK_KEYS = BLOCK_BITS // 10
-
 
 class KeyIndex:
     """Index of one string key below ``path``. One writer at a time, any number of readers."""
@@ -151,22 +147,6 @@ def placed_keys(keys: DataFrame, buckets: int, blocks: int) -> DataFrame:
     return own.select("key", "hash", spot("bucket", buckets).alias("bucket"), spot("block", blocks).alias("block"))
 
 
-def probe(i: int, hash_: Column) -> Column:
-    """Place of a key's bit number ``i`` in its bitmap."""
-    return F.pmod(F.xxhash64(F.lit(i), hash_), F.lit(BLOCK_BITS))
-
-
-def probes(hash_: Column) -> Column:
-    """Places of all its bits."""
-    return F.array(*[probe(i, hash_) for i in range(PROBES)])
-
-
-def bit_at(bits: Column, place: Column) -> Column:
-    """Whether the bit at a place of a bitmap is set: byte ``place / 8``, lowest bit first."""
-    byte = F.conv(F.hex(F.substring(bits, (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-
-
 def unknown_rows(batch: DataFrame, index: KeyIndex, key: str, order: Sequence[str]) -> DataFrame:
     """Rows of the batch to append: keys that the index does not hold, the first row of each. Rows without a key go,
     as they have none to be known by. ``batch`` is read several times and should be a stored table."""

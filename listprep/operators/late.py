@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listprep.operators.keyindex import BLOCK_KEYS, PROBES, bit_at, probe, probes
+from listprep.functions.bitmaps import BLOCK_KEYS, PROBES, bit_at, probe, probes
 
 # Bitmaps of 4 KB each, at most: some 6.7 million keys at full sharpness. More keys let more rows pass, none is lost.
 MOST_BLOCKS = 2048

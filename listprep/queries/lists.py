@@ -161,10 +161,11 @@ def sql_basic_title(t):
     return f"left(replace(regexp_replace({t}, '[\\\\/*?:\"<>|]', '_', 'g'), ' ', '_'), 100)"
 
 
-# Every line of every document is the title of a link.
-SQL_LINES = """
+# Every line of every document is the title of a link; a text has fewer lines than this.
+LINES = 1 << 32
+SQL_LINES = f"""
     lines as (
-      select doc_id * 1000000 + i as pos, list_extract(string_split(text, chr(10)), i) as title, source as list, lang, doc_id,
+      select doc_id * {LINES} + i as pos, list_extract(string_split(text, chr(10)), i) as title, source as list, lang, doc_id,
              'doc:' || doc_id || ':' || i as url
       from (select *, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i from documents))"""
 
@@ -174,7 +175,7 @@ def line_links(spark, d):
     lines = docs.select("doc_id", "lang", F.col("source").alias("list"), F.posexplode(F.split("text", "\n")).alias("i", "title"))
     place = F.col("i") + 1
     return lines.select(
-        "list", (F.col("doc_id") * 1000000 + place).alias("pos"), "title",
+        "list", (F.col("doc_id") * LINES + place).alias("pos"), "title",
         F.concat_ws(":", F.lit("doc"), "doc_id", place).alias("url"), "lang", "doc_id",
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from listprep.functions import text, times, urls
 from listprep.operators import reconcile
-from listprep.queries.lists import SQL_LINES, line_links, sql_basic_title, sql_old_title, sql_safe_title
+from listprep.queries.lists import LINES, SQL_LINES, line_links, sql_basic_title, sql_old_title, sql_safe_title
 from listprep.queries.registry import SQL_WS, query, spread, sql_strip, table
 
 
@@ -78,7 +78,7 @@ def safe_names(spark, d):
       union all
       select -1 - page_id, url from pages
       union all
-      select -1000000 - p_partkey, case p_type when 'SMALL' then '«' || p_size || '»' when 'PROMO' then '  '
+      select -{LINES} - p_partkey, case p_type when 'SMALL' then '«' || p_size || '»' when 'PROMO' then '  '
         when 'LARGE' then '?!' else '№' || p_size || '² ' || p_name end from part)
     select doc_id, {sql_safe_title('title', 'doc_id')} as safe, {sql_old_title('title')} as old,
            {sql_basic_title('title')} as basic
@@ -95,7 +95,7 @@ def safe_titles(spark, d):
         .when(F.col("p_type") == "LARGE", F.lit("?!"))
         .otherwise(F.concat(F.lit("№"), size, F.lit("² "), "p_name"))
     )
-    parts = table(spark, d, "part").select((-1000000 - F.col("p_partkey")).alias("doc_id"), odd.alias("title"))
+    parts = table(spark, d, "part").select((-LINES - F.col("p_partkey")).alias("doc_id"), odd.alias("title"))
     title = F.col("title")
     return docs.unionByName(pages).unionByName(parts).select(
         "doc_id",
