@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from listprep.plans import catalog, mirror, procurement
 from listprep.queries.packages import SQL_LISTING, SQL_VERSIONS, artifact_dedup, artifact_rows, listing, local_inventory, package_versions
 from listprep.queries.packages import remote_index
-from listprep.queries.pages import SQL_CARDS, SQL_ORG_FIELDS, SQL_WIKI, WIKI_BASE, card_pages, joined, listing_pages
-from listprep.queries.pages import org_pages, wiki_pages
+from listprep.queries.pages import SQL_CARDS, SQL_ORG_FIELDS, SQL_RECORDS, WIKI_BASE, card_pages, joined, listing_pages
+from listprep.queries.pages import org_pages, record_columns, wiki_pages
 from listprep.queries.pages import text as as_text
 from listprep.queries.registry import query, table
 from listprep.session import work_dir
@@ -50,10 +50,9 @@ def contract_links(spark, d):
 @query(
     "wiki_catalog",
     f"""
-    with {SQL_WIKI}
-    select p_partkey as pos, p_name || ' & ' || p_partkey as title, case when frame = 'none' and p_type <> 'SMALL' then 'Main content not found' end as error,
-      case when frame <> 'none' then 5 end as n_fields
-    from wiki where p_type <> 'PROMO' or p_size > 40
+    with {SQL_RECORDS}
+    select p_partkey as pos, p_name || ' & ' || p_partkey as title, main_content, sections, infobox, categories, error, source_tag, snippet_tag
+    from records where p_type <> 'PROMO' or p_size > 40
     """,
 )
 def wiki_catalog(spark, d):
@@ -75,9 +74,7 @@ def wiki_catalog(spark, d):
         joined("https://wiki.example.org/wiki/", as_text("p_partkey")).alias("url"), "html"
     )
     records = catalog.pending_records(links, stored, pages)
-    return records.select(
-        "pos", "title", "error", F.when(F.size("infobox") > 0, F.size("infobox")).alias("n_fields")
-    )
+    return records.select("pos", *record_columns())
 
 
 @query(

@@ -31,20 +31,30 @@ def sql_unescaped(column):
     return f"trim({column})"
 
 
-TAGS = "p li a b br h1 div nav article footer ul".split()
-
-
 @query(
     "html_nodes",
-    f"""
-    select tag, cast(sum(len(regexp_extract_all(html, '<' || tag || '[ >]'))) as bigint) as n
-    from pages, (select unnest({TAGS}) as tag) group by tag
+    """
+    with clean as (
+      select regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<(script|style)([^>]*)>.*?</(script|style)>', '<\\1\\2>', 'gs') as html
+      from pages),
+    opened as (select unnest(regexp_extract_all(html, '<[a-z][^>]*>')) as t from clean),
+    tags as (select regexp_extract(t, '^<([a-z0-9]+)', 1) as tag, t from opened),
+    attrs as (select tag, unnest(regexp_extract_all(t, '[a-z-]+="[^"]*"')) as a from tags)
+    select tag, null as attr, count(*) as n, 0 as n_chars from tags group by tag
+    union all
+    select tag, split_part(a, '=', 1), count(*), cast(sum(length(a) - length(split_part(a, '=', 1)) - 3) as bigint)
+    from attrs group by 1, 2
     """,
 )
 def html_nodes(spark, d):
-    parsed = H.parse_html(spread(table(spark, d, "pages", "page_id", "html")), keep_tags=TAGS, keep_attrs=[])
-    tags = parsed.select(F.explode("dom.nodes.tag").alias("tag"))
-    return tags.groupBy("tag").agg(F.count("*").alias("n"))
+    """All elements and all attributes of the given pages, with the length of their values."""
+    parsed = H.parse_html(spread(table(spark, d, "pages", "page_id", "html")))
+    nodes = parsed.select(F.explode("dom.nodes").alias("node"))
+    one = lambda attr, value: F.struct(attr.alias("attr"), F.length(value).cast("long").alias("n_chars"))
+    node = F.col("node")
+    given = F.transform(F.map_entries(F.coalesce(node["attrs"], F.create_map().cast("map<string,string>"))), lambda e: one(e["key"], e["value"]))
+    each = nodes.select(node["tag"].alias("tag"), F.explode(F.concat(F.array(one(F.lit(None).cast("string"), F.lit(""))), given)).alias("a"))
+    return each.groupBy("tag", "a.attr").agg(F.count("*").alias("n"), F.sum("a.n_chars").alias("n_chars"))
 
 
 @query(
@@ -516,24 +526,27 @@ SQL_HISTORY = f" || {NL} || ".join(
         "'long enough text'", "'in'", "'Head'",
     ]
 )
-SQL_REFERENCES = f" || {NL} || ".join(f"'Ref {i} of ' || k" for i in range(1, 11))
+def sql_references(count):
+    return f" || {NL} || ".join(f"'Ref {i} of ' || k" for i in range(1, count + 1))
+
+
+def sql_sections(references):
+    """Level, title and content of the sections in order."""
+    return [
+        (2, "p_name", "'Gender::' || p_brand"),
+        (3, "'Gender::'", "''"),
+        (2, "'Gender'", f"p_brand || {NL} || 'About' || p_brand"),
+        (2, "'History'", SQL_HISTORY),
+        (3, "'Powers'", "'Strong'"),
+        (2, "'Contents'", f"'History' || {NL} || 'Powers'"),
+        (2, "'Links and References'", sql_references(references)),
+        (4, "'First'", "'Issue ' || k"),
+    ]
 
 
 @query(
     "wiki_sections",
-    f"with {SQL_WIKI} "
-    + " union all ".join(
-        [
-            sql_section(0, 2, "p_name", "'Gender::' || p_brand"),
-            sql_section(1, 3, "'Gender::'", "''"),
-            sql_section(2, 2, "'Gender'", f"p_brand || {NL} || 'About' || p_brand"),
-            sql_section(3, 2, "'History'", SQL_HISTORY),
-            sql_section(4, 3, "'Powers'", "'Strong'"),
-            sql_section(5, 2, "'Contents'", f"'History' || {NL} || 'Powers'"),
-            sql_section(6, 2, "'Links and References'", SQL_REFERENCES),
-            sql_section(7, 4, "'First'", "'Issue ' || k"),
-        ]
-    ),
+    f"with {SQL_WIKI} " + " union all ".join(sql_section(i, *s) for i, s in enumerate(sql_sections(wiki.REFERENCES))),
 )
 def wiki_sections(spark, d):
     pages = with_infobox(spark, d).filter("kind = 'page'")
@@ -541,16 +554,12 @@ def wiki_sections(spark, d):
     return found.select("p_partkey", "pos", "s.level", "s.title", "s.content")
 
 
-@query(
-    "wiki_main",
-    f"""
-    with {SQL_WIKI}
-    select p_partkey, case p_type when 'LARGE' then 'Markedtext' || k
+SQL_MAIN = f"""case p_type when 'LARGE' then 'Markedtext' || k
         else 'Lead text number ' || k || {NL} || 'About' || p_brand || {NL} || 'Firstpart& more' end
-      || {NL} || '[Раскрывающийся контент]: A collapsed block of ' || k || {NL} || '[Изображение]: Picture ' || k as main_content
-    from wiki where frame <> 'none'
-    """,
-)
+      || {NL} || '[Раскрывающийся контент]: A collapsed block of ' || k || {NL} || '[Изображение]: Picture ' || k"""
+
+
+@query("wiki_main", f"with {SQL_WIKI} select p_partkey, {SQL_MAIN} as main_content from wiki where frame <> 'none'")
 def wiki_main(spark, d):
     return wiki_main_blocks(spark, d).filter("kind = 'page'").select("p_partkey", wiki.main_text(wiki.PARAGRAPHS).alias("main_content"))
 
@@ -564,26 +573,49 @@ def categories(spark, d):
     return parsed.select("p_partkey", F.array_join(wiki.categories(), "|").alias("categories"))
 
 
+SQL_SECTION_TEXT = f" || {NL} || ".join(
+    f"'{level}' || chr(9) || {title} || chr(9) || {content}" for level, title, content in sql_sections(12)
+)
+SQL_BOX = """'name=' || p_name || '|image=/img/' || k || '.png|Gender=' || p_brand || '|Living  Status=' || p_type || '|Place of  Birth=Size' || p_size"""
+# the page source around its main block, and of the error page from its body on
+SQL_RECORDS = f"""
+{SQL_WIKI},
+records as (
+  select p_partkey, p_size, p_type, p_name, p_brand, k, frame <> 'none' as page, frame = 'none' and p_type = 'SMALL' as gallery,
+    frame = 'none' and p_type <> 'SMALL' as failed,
+    coalesce({SQL_PAGE_TITLE}, '') as page_title,
+    case when frame <> 'none' then {SQL_MAIN} when p_type = 'SMALL' then 'This is a gallery page with images' end as main_content,
+    case when frame <> 'none' then {SQL_SECTION_TEXT} when p_type = 'SMALL' then '2' || chr(9) || 'Gallery' || chr(9) || 'Image gallery content' end as sections,
+    case when frame <> 'none' then {SQL_BOX} when p_type = 'SMALL' then '' end as infobox,
+    case when frame <> 'none' then array_to_string(list_sort([p_brand, p_type]), '|') when p_type = 'SMALL' then 'Gallery' end as categories,
+    case when frame = 'none' and p_type <> 'SMALL' then 'Main content not found' end as error,
+    case frame when 'path' then 'main' when 'class' then 'main' when 'id' then 'div' else case when p_type = 'SMALL' then 'body' end end as source_tag,
+    case when frame = 'none' and p_type <> 'SMALL' then 'body' end as snippet_tag
+  from wiki)
+"""
+
+
+def record_columns():
+    """The columns of page records as plain values: lists as texts; of the two page sources the tag they are cut at."""
+    lines = F.transform("sections", lambda s: F.concat_ws("\t", s["level"], s["title"], s["content"]))
+    box = F.transform(F.map_entries("infobox"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    tag = lambda c: F.nullif(F.regexp_extract(c, "(?s)^<([a-z]+)[ >].*</\\1>$", 1), F.lit(""))
+    whole = lambda c: F.when(F.col(c).startswith("<body>"), "body").otherwise(tag(F.col(c)))
+    return [
+        "title", "main_content", F.array_join(lines, "\n").alias("sections"), F.array_join(box, "|").alias("infobox"),
+        F.array_join("categories", "|").alias("categories"), "error",
+        whole("raw_html").alias("source_tag"), whole("html_snippet").alias("snippet_tag"),
+    ]
+
+
 @query(
     "wiki_records",
     f"""
-    with {SQL_WIKI}
-    select p_partkey, case when frame = 'none' and p_type <> 'SMALL' then null when frame = 'none' then 1 else 8 end as n_sections,
-      case when frame = 'none' and p_type <> 'SMALL' then 'Main content not found' end as error,
-      case when frame = 'none' and p_type <> 'SMALL' then true end as has_snippet,
-      case when frame = 'none' then case when p_type = 'SMALL' then true end else true end as has_source
-    from wiki
+    with {SQL_RECORDS}
+    select p_partkey, page_title as title, main_content, sections, infobox, categories, error, source_tag, snippet_tag from records
     """,
 )
 def wiki_records(spark, d):
     """Whole records: good, gallery and error pages in one schema."""
     pages = H.parse_html(wiki_pages(spark, d), keep_html=True)
-    records = wiki.page_records(pages, "p_partkey")
-    source = F.col("raw_html")
-    return records.select(
-        "p_partkey",
-        F.when(F.col("sections").isNotNull(), F.size("sections")).alias("n_sections"),
-        "error",
-        F.col("html_snippet").startswith("<body>").alias("has_snippet"),
-        (source.rlike("^<(main|div)[ >]") & source.rlike("</(main|div)>$") | source.startswith("<body>")).alias("has_source"),
-    )
+    return wiki.page_records(pages, "p_partkey").select("p_partkey", *record_columns())
