@@ -9,7 +9,7 @@ from listprep.queries.packages import counts
 from listprep.queries.registry import query, table
 from listprep.queries.texts import SQL_TRANSCRIPTS, outcomes, transcripts
 from listprep.session import state_partitions, work_dir
-from listprep.streaming import jobs
+from listprep.streaming import jobs, retries
 
 
 def staged(df, folder, files=4):
@@ -103,3 +103,45 @@ def stream_snapshots(spark, d):
         stream = staged(part, f"{work}/in-{n}", 3)
         jobs.append_snapshots(stream, f"{work}/out", f"{work}/checkpoint-{n}").awaitTermination()
     return jobs.latest_snapshots(spark.read.parquet(f"{work}/out")).select("snapshot", "query", "n")
+
+
+SQL_ROUNDS = """
+    a as (select cast(user_id as varchar) as item, event_id as id, epoch_us(ts) // 1000 as t, event_type = 'purchase' as ok from events),
+    p as (select *, coalesce(sum(cast(ok as bigint)) over (partition by item order by t, id rows between unbounded preceding and 1 preceding), 0) as part from a),
+    r as (select *, (row_number() over (partition by item, part order by t, id) - 1) // 6 as round from p),
+    g as (select item, min(id) as since, cast(count(*) as integer) as attempts, max(t) as t, bool_or(ok) as ok from r group by item, part, round),
+    s as (select *, case when ok then 'done' when attempts = 6 then 'given_up' else 'waiting' end as state from g)"""
+
+
+def attempts(spark, d):
+    """Events as attempts of their user; a purchase is a success."""
+    events = table(spark, d, "events", "event_id", "user_id", "ts", "event_type")
+    return events.select(
+        F.col("user_id").cast("string").alias("item"), F.col("event_id").alias("id"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at"),
+        (F.col("event_type") == "purchase").alias("ok"), F.dayofmonth("ts").alias("day"),
+    )
+
+
+@query(
+    "stream_retries",
+    f"with {SQL_ROUNDS} select item, since, attempts, state, case when state = 'waiting' then t + 10000 end as due from s",
+)
+def stream_retries(spark, d):
+    """Attempts of ten days at a time; the stream is stopped and started again in the middle."""
+    work = work_dir(spark, "stream-retries")
+    every = attempts(spark, d)
+    with state_partitions(spark):
+        for first, last in ((0, 10), (11, 20), (21, 31)):
+            part = every.filter(F.col("day").between(first, last)).drop("day")
+            part.coalesce(1).write.mode("append").parquet(f"{work}/in")
+            changes = retries.retry_changes(opened(part, f"{work}/in"))
+            jobs.write_links(changes, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return retries.standing(spark.read.schema(retries.CHANGES).parquet(f"{work}/out"))
+
+
+@query(
+    "retry_rounds",
+    f"with {SQL_ROUNDS} select item, since, attempts, state, case when state = 'waiting' then t + 10000 end as due from s",
+)
+def retry_rounds(spark, d):
+    return retries.rounds(attempts(spark, d).drop("day"))
