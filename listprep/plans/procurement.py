@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from listprep.functions import html as H
 from listprep.functions.text import clean_strings
 from listprep.operators import enrich, extract, membership
+from listprep.operators import rules as machine
 from listprep.operators.late import maybe_in
 
 ORG_COLUMNS = ("legal_name", "headcount", "phone", "email", "revenue")
@@ -26,7 +27,7 @@ def contract_rows(
     pages: DataFrame,
     stored: DataFrame | None = None,
     key: str = "link",
-    rules: Sequence[extract.Rule] = extract.CONTRACT_RULES,
+    rules: DataFrame | Sequence[machine.Spec | extract.Rule] = extract.CONTRACT_RULES,
 ) -> DataFrame:
     """One cleaned row per contract page (key, html) that is not among the stored rows.
 
@@ -36,7 +37,7 @@ def contract_rows(
     if stored is not None:
         fresh = membership.without_known(pages.select(key), stored, [key])
         pending = pending.filter(F.col(key).isNull() | maybe_in(F.col(key), fresh, key))
-    rows = clean_strings(extract.extract_rules(H.parse_html(pending), key, rules=rules))
+    rows = clean_strings(machine.read_fields(pending, key, rules=rules))
     return rows if stored is None else membership.without_known(rows, stored, [key])
 
 
