@@ -99,7 +99,7 @@ class _Page:
 
     def _scan(self, html: str) -> bool:
         """Reads the whole page by pattern; False when some part of it is irregular."""
-        at, token = 0, _TOKEN.match
+        at, token, kept = 0, _TOKEN.match, self._keep_tags
         while True:
             lt = html.find("<", at)
             data = html[at:] if lt < 0 else html[at:lt]
@@ -119,7 +119,7 @@ class _Page:
             else:
                 tag = start.lower()
                 pairs = []
-                if attrs:
+                if attrs and (kept is None or tag in kept):
                     if "&" in attrs and _OTHER_ENTITY.search(attrs):
                         return False
                     for name, value in _ATTR.findall(attrs):

@@ -94,11 +94,10 @@ def number_rows(
     made = {f"_k{i}": key for i, key in enumerate(order_by) if isinstance(key, Column)}
     keys = [f"_k{i}" if isinstance(key, Column) else key for i, key in enumerate(order_by)]
     rows = df.withColumns(made)
-    # a null group is a group
-    rows = rows.withColumns({
-        "_code": _code(rows, keys),
-        "_group": F.array(*[F.coalesce(F.concat(F.lit("="), F.col(g).cast("string")), F.lit("")) for g in group_by]),
-    })
+    # a null group is a group; without groups all rows have one, which is no constant, so that sides are met by hashes
+    named = [F.coalesce(F.concat(F.lit("="), F.col(g).cast("string")), F.lit("")) for g in group_by]
+    rows = rows.withColumn("_code", _code(rows, keys))
+    rows = rows.withColumn("_group", F.array(*named) if named else F.substring("_code", 1, 0))
     slim = rows.select("_group", "_code")
 
     def placed(frame: DataFrame, side: DataFrame, on: list[str], bounded: bool) -> DataFrame:
@@ -109,11 +108,7 @@ def number_rows(
 
     def celled(frame: DataFrame) -> DataFrame:
         columns = frame.columns
-        if group_by:
-            frame = placed(frame, slim.groupBy("_group").agg(*_span("_code")), ["_group"], False)
-        else:
-            whole = slim.agg(F.struct(*_span("_code")).alias("_whole")).scalar()
-            frame = frame.withColumn("_whole", whole).select(*columns, "_whole.*")
+        frame = placed(frame, slim.groupBy("_group").agg(*_span("_code")), ["_group"], not group_by)
         frame = frame.select(*columns, _cell().alias("_rough"))
         return frame
 
