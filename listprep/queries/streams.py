@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from listprep.queries.lists import SQL_LINKS, raw_links
 from listprep.queries.packages import counts
-from listprep.queries.registry import query, table
+from listprep.queries.registry import SQL, query, table
 from listprep.queries.texts import SQL_TRANSCRIPTS, outcomes, transcripts
 from listprep.session import state_partitions, work_dir
-from listprep.streaming import jobs, retries
+from listprep.streaming import jobs, retries, snapshotstore
 
 
 def staged(df, folder, files=4):
@@ -101,8 +101,17 @@ def stream_snapshots(spark, d):
     right = counts(spark, d)
     for n, part in enumerate((right.withColumn("n", F.lit(-1).cast("long")), right)):
         stream = staged(part, f"{work}/in-{n}", 3)
-        jobs.append_snapshots(stream, f"{work}/out", f"{work}/checkpoint-{n}").awaitTermination()
-    return jobs.latest_snapshots(spark.read.parquet(f"{work}/out")).select("snapshot", "query", "n")
+        snapshotstore.store_snapshots(stream, f"{work}/out", f"{work}/checkpoint-{n}").awaitTermination()
+    return snapshotstore.read_snapshots(spark, f"{work}/out")
+
+
+@query("stored_diff", SQL["snapshot_diff"])
+def stored_diff(spark, d):
+    """The change report out of a store that got its counts in several batches; the files of two dates are opened."""
+    work = work_dir(spark, "stored-diff")
+    stream = staged(counts(spark, d), f"{work}/in", 3)
+    snapshotstore.store_snapshots(stream, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return snapshotstore.stored_diff(spark, f"{work}/out")
 
 
 SQL_ROUNDS = """
