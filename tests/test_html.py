@@ -133,6 +133,14 @@ def test_pattern_reader_equals_standard_reader(pieces):
     same_tree("".join(pieces))
 
 
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12))
+def test_readers_agree_where_tags_are_left_out(pieces):
+    text, tags, attrs = "".join(pieces), frozenset(["p", "div", "b"]), frozenset(["x"])
+    fast, slow = H._Page(text, tags, attrs), H._Page(text, tags, attrs, fast=False)
+    assert (fast.rows, fast.tight, fast.raw) == (slow.rows, slow.tight, slow.raw)
+
+
 @settings(max_examples=1500, deadline=None)
 @given(st.text(alphabet="<>/='\"!-& ab\n", max_size=25))
 def test_readers_agree_on_any_text(text):
