@@ -78,7 +78,7 @@ def test_versions_are_limited_before_the_shuffle(spark):
 
 def test_no_cross_join_and_no_unbounded_broadcast(spark, folder, small_thresholds):
     """With automatic broadcasts off, only sides of proven size are broadcast."""
-    allowed = {"keyset_pages", "page_budget", "semver_sort", "snapshot_diff"}
+    allowed = {"keyset_pages", "page_budget", "semver_sort", "snapshot_diff", "stored_diff"}
     for name, query in load().QUERIES.items():
         if name.startswith(("stream_", "snk_", "src_", "save_list")):
             continue  # these run inside
