@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listprep.functions import html as H
 from listprep.operators import extract, membership, numbering, reconcile, wiki
+from listprep.operators.joins import join_stored
 from listprep.operators.late import maybe_in
 from listprep.session import checkpointed
 from listprep.sinks import writers
@@ -51,11 +52,11 @@ def pending_records(links: DataFrame, outputs: DataFrame, pages: DataFrame) -> D
     Only the pages of pending links (and few others) are parsed, where they were read; the records made of them meet
     the links by their address."""
     pending = membership.pending_or_failed(links, outputs).select("list", "pos", F.col("title").alias("list_title"), "url")
-    # looked at three times: its size, its bits, and the join
+    # looked at four times: its size in rows and in bytes, its bits, and the join
     pending = checkpointed(pending)
     todo = pages.select("url", "html").filter(maybe_in(F.col("url"), pending, "url"))
     records = wiki.page_records(H.parse_html(todo, keep_html=True), "url")
-    both = records.join(pending, "url").withColumn("title", F.coalesce("list_title", "title"))
+    both = join_stored(records, pending, ["url"]).withColumn("title", F.coalesce("list_title", "title"))
     return both.select("list", "pos", *records.columns)
 
 

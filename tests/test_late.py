@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from listprep.operators import joins
 from listprep.operators.late import maybe_in
 from listprep.plans import catalog, procurement
 from listprep.queries import load
@@ -66,6 +67,24 @@ def test_wiki_pages_are_not_shuffled(spark, small_thresholds):  # noqa: F811
     assert sorted(r.pos for r in got.collect()) == [n for n in range(400) if n % 4]
 
 
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_wiki_records_are_never_broadcast(spark, monkeypatch, tmp_path, most):
+    """Page records are far larger than the compressed pages read, by whose size Spark would send them to the driver."""
+    monkeypatch.setattr(joins, "SENT_BYTES", most, raising=False)
+    pages(spark).write.parquet(f"{tmp_path}/pages")
+    table = spark.read.parquet(f"{tmp_path}/pages")
+    links = table.select(F.lit("l").alias("list"), F.substring("url", 2, 9).cast("long").alias("pos"), F.col("url").alias("title"), "url")
+    outputs = links.filter("pos % 4 = 0").select("list", F.lit(None).cast("string").alias("safe_name"), "url", F.lit(False).alias("has_error"))
+    got = catalog.pending_records(links, outputs, table)
+    sent = [columns for columns in exchanges(got) if "list_title" in columns or "raw_html" in columns]
+    joined = "BroadcastHashJoin" if most else "SortMergeJoin"
+    assert joined in got._jdf.queryExecution().executedPlan().toString()
+    # both sides are dealt out by the key, or the pending links alone are sent
+    assert len(sent) == (1 if most else 2) and (not most or "raw_html" not in sent[0])
+    rows = got.collect()
+    assert sorted(r.pos for r in rows) == [n for n in range(400) if n % 4] and all(r.title == f"u{r.pos}" for r in rows)
+
+
 def test_null_keys_stay_pending(spark):
     table = pages(spark, 3).withColumnRenamed("url", "link").union(pages(spark, 1).select(F.lit(None).cast("string"), "html"))
     assert procurement.contract_rows(table, table.limit(0).select("link")).count() == 4
