@@ -1,13 +1,15 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from listprep.llm import bpe
+from listprep.llm import bpe, flat
 from tests.llm import helpers as h
 
 with open(bpe.vocabulary(), "rb") as f:
@@ -75,3 +77,23 @@ def test_query(spark, sf):
     folder = f"/root/testdata/{sf}"
     got = bpe.byte_bpe(spark, folder)
     assert h.rows(got) == want(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
+def test_memory_of_a_batch(spark):
+    """Two workers of an executor run beside a full heap: arrays of a batch stay below 64 MB, batches sent are small."""
+    batch = pa.RecordBatch.from_pydict({"text": [f"some words {i} of a text " * 80 for i in range(2000)]})
+    size = getattr(bpe, "BATCH_BYTES", flat.BATCH_BYTES)
+    OURS.encode(["warm"])
+    tracemalloc.start()
+    try:
+        for part in flat.pieces([batch], "text", size):
+            OURS.encode(part.column("text").to_pylist())
+            flat.cut_powers(0)
+        assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    finally:
+        tracemalloc.stop()
+    names = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    for name in names:
+        spark.conf.unset(name)
+    bpe.tokens(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), bpe.vocabulary())
+    assert int(spark.conf.get(names[0])) <= 1000 and int(spark.conf.get(names[1])) <= 4 << 20
