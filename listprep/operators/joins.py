@@ -30,13 +30,14 @@ SENT_BYTES = 4 << 20
 
 def join_stored(wide: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``wide`` (records that hold whole pages) inner joined with a stored table of narrow rows, which is sent to all
-    tasks if its values are small, as measured now; else both sides are shuffled.
+    tasks if its values are small, as measured now, and within the broadcast threshold; else both sides are shuffled.
 
     The choice isn't left to Spark, which goes by the size of the files read: records made from compressed pages are many
     times that, and would be gathered on the driver."""
     bytes_ = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in stored.columns]
     size = stored.agg(F.sum(sum(bytes_, F.lit(16)))).first()[0] or 0
-    return wide.join(F.broadcast(stored) if size <= SENT_BYTES else stored.hint("merge"), list(keys))
+    most = min(SENT_BYTES, stored.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return wide.join(F.broadcast(stored) if size <= most else stored.hint("merge"), list(keys))
 
 
 def keep_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -108,7 +108,8 @@ def pending_or_failed(links: DataFrame, outputs: DataFrame) -> DataFrame:
     own = own.filter(F.col("pos") == F.col("_last"))
     # rank and error flag in one integer: the smallest is the first scheme that has an output
     hit = F.min(F.col("rank") * 2 + F.col("has_error").cast("int")).alias("_hit")
-    by_name = own.join(named, ["list", "safe_name"]).groupBy("list", "pos").agg(hit)
+    # both are dealt out by name; Spark, going by the size of the compressed files, would gather one of them on the driver
+    by_name = own.join(named.hint("merge"), ["list", "safe_name"]).groupBy("list", "pos").agg(hit)
     found = join_unique(links, by_name, ["list", "pos"], "left").withColumn("_failed", F.col("_hit") % 2 == 1)
     if "url" in outputs.columns:
         by_url = outputs.filter(F.col("url").isNotNull()).groupBy("list", "url").agg(F.bool_or("has_error").alias("_error"))
